@@ -37,9 +37,22 @@ def _split_table() -> tuple[str, str, dict[str, str]]:
     return "".join(single), "".join(single.values()), wide
 
 
+def _ranges(chars: list[str]) -> str:
+    """A character class that lists neighbours as ranges."""
+    codes = sorted(map(ord, chars))
+    runs = [[codes[0], codes[0]]]
+    for code in codes[1:]:
+        if code == runs[-1][1] + 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    return "[" + "".join(f"{chr(low)}-{chr(high)}" for low, high in runs) + "]"
+
+
 def _widen(text: Column, wide: dict[str, str]) -> Column:
     """Replace characters that become several: cut at them, look each one up."""
-    char_class = "[" + "".join(wide) + "]"
+    # The look-ahead passes over ASCII without trying every range.
+    char_class = f"(?={NON_ASCII}){_ranges(list(wide))}"
     # One literal for the whole table keeps the plan small; it folds to a map.
     listed = "\x02".join(f"{char}\x01{left}" for char, left in wide.items())
     entries = F.str_to_map(F.lit(listed), F.lit("\x02"), F.lit("\x01"))
