@@ -37,7 +37,8 @@ def land(spark: SparkSession, sf_dir: str, base: str, folder: str) -> dict[str,
     data, stored = Data(spark, sf_dir, base), {}
     for name in STORED:
         path = f"{folder}/{base}/{name}"
-        getattr(data, name).write.parquet(path)
+        # As many files as a stored table would have, so that every core reads.
+        getattr(data, name).repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
         stored[name] = spark.read.parquet(path)
     return stored
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +19,8 @@ def distinct_links(candidates: DataFrame) -> DataFrame:
     return candidates.select("link").filter(F.col("link").isNotNull()).distinct()
 
 
-def newest_landed(landed: DataFrame) -> DataFrame:
-    return newest_by_key(landed, LANDED_KEY, LANDED_COLUMNS, LANDED_AT)
+def newest_landed(landed: DataFrame, columns: Sequence[str] = LANDED_COLUMNS) -> DataFrame:
+    return newest_by_key(landed, LANDED_KEY, columns, LANDED_AT)
 
 
 def acquire(links: DataFrame, landed: DataFrame, rows: int = 0) -> DataFrame:

@@ -83,7 +83,7 @@ def followed_copies(responses: DataFrame, landed: DataFrame, rows: int = 0) -> D
     )
     on_site = landed.filter(F.col("link").startswith(SITE))
     wanted = named.select(F.col("url").alias("link")).filter(F.col("link").isNotNull())
-    content = newest_landed(only_keys(on_site, wanted, LANDED_KEY, rows)).select(
+    content = newest_landed(only_keys(on_site, wanted, LANDED_KEY, rows), ("http_status", "text")).select(
         "link", F.when(P.http_ok(F.col("http_status")), F.col("text")).alias("copy_text")
     )
     found = lookup(named, content, F.col("url"), F.col("link"), F.col("request_key"))
