@@ -51,7 +51,8 @@ def newest_files(files: DataFrame, seen: DataFrame | None, *keys: str) -> DataFr
 def read_landed_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """A folder of landed text files as landed documents, keyed by path.
 
-    Content that is not UTF-8 gives NULL text: obtained, but unreadable.
+    Content that is not UTF-8 gives NULL text: obtained, but unreadable. File
+    sources list no empty files; an empty document has to land as a table row.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
     absent = F.lit(None).cast("string")

@@ -1,0 +1,174 @@
+"""Physical plans: pushdown, shuffles, broadcast bounds, skew, no Python."""
+
+import datetime as dt
+import re
+from contextlib import contextmanager
+
+import pytest
+from pyspark.sql import functions as F
+
+from folioaudit.functions.lines import with_line_diff
+from folioaudit.operators import candidates as C
+from folioaudit.operators import landing as L
+from folioaudit.operators import verification as V
+from folioaudit.operators.diagnostics import diagnostics
+from folioaudit.operators.joins import BROADCAST_ROWS, lookup, newest_by_key, only_keys
+from folioaudit.plans.audit import audit
+from folioaudit.sources import tables as S
+from workload.queries import Data
+
+CUTOFF = dt.date(2001, 7, 1)
+
+
+def plan(df, executed=False):
+    if executed:
+        df.collect()
+        text = df._jdf.queryExecution().executedPlan().toString()
+        # A finished adaptive plan shows the initial plan below the final one.
+        return text.split("Initial Plan")[0]
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@contextmanager
+def settings(spark, **values):
+    values = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+NO_BROADCAST = {"spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1"}
+
+
+@pytest.fixture(scope="module")
+def stored(spark, sf_dir, tmp_path_factory):
+    folder, data, out = tmp_path_factory.mktemp("stored"), Data(spark, sf_dir), {}
+    for name in ("certificates", "landed_documents", "issuer_responses", "processed"):
+        getattr(data, name).write.parquet(f"{folder}/{name}")
+        out[name] = spark.read.parquet(f"{folder}/{name}")
+    return out
+
+
+def whole(stored, row_limit=0, **options):
+    batch = C.candidates(stored["certificates"], None, CUTOFF, row_limit)
+    return audit(batch, stored["landed_documents"], stored["issuer_responses"], None, row_limit, **options)
+
+
+def test_lookback_and_columns_reach_the_scan(stored):
+    text = plan(C.lookback(C.normalize(stored["certificates"].withColumn("extra", F.lit(1))), CUTOFF).select("doc_idn"))
+    assert "GreaterThanOrEqual(FECHA_INGRESO,2001-07-01T00:00)" in text
+    assert re.search(r"ReadSchema: struct<DOC_IDN:bigint,FECHA_INGRESO:timestamp_ntz>", text)
+    assert "Exchange" not in text
+
+
+def test_top_k_is_fused(stored):
+    assert "TakeOrderedAndProject" in plan(C.first_by_id(C.normalize(stored["certificates"]), 5))
+    assert "Sort" not in plan(C.first_by_id(C.normalize(stored["certificates"]), 0))
+
+
+def test_no_python_and_no_cross_join(spark, sf_dir, stored):
+    data = Data(spark, sf_dir)
+    for df in (whole(stored), whole(stored, 10), V.verify(V.with_request(data.extracted), data.issuer_responses, data.landed_documents)):
+        text = plan(df)
+        for bad in ("EvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "InPandas", "ExistingRDD"):
+            assert bad not in text
+
+
+def test_copy_scan_is_filtered_and_pruned(stored):
+    text = plan(V.followed_copies(stored["issuer_responses"], stored["landed_documents"]))
+    assert "StringStartsWith(link,https://www.afphabitat.cl)" in text
+    assert "EqualTo(afp,habitat)" in text
+    assert "producer" not in text
+
+
+def test_diagnostics_scan_the_source_once(stored):
+    ids = stored["processed"].select(F.col("DOC_IDN").alias("doc_idn"))
+    text = plan(diagnostics(C.normalize(stored["certificates"]), ids, CUTOFF))
+    assert text.count("FileScan") == 2
+    assert "link" not in text.lower()
+
+
+def test_line_diff_has_no_shuffle(spark):
+    df = spark.createDataFrame([("a", "b")], "v string, o string")
+    text = plan(with_line_diff(df, "v", "o", "d"))
+    assert "Exchange" not in text and "Generate" not in text
+
+
+def test_patterns_are_not_evaluated_twice(stored):
+    docs = L.acquire(L.distinct_links(C.normalize(stored["certificates"])), stored["landed_documents"])
+    text = plan(L.extract_fields(L.clean_metadata(docs)))
+    assert text.count("translate(") == 1
+    assert text.count("certificado(?:") == 1
+
+
+def test_small_batch_filters_the_landed_scan(stored):
+    landed, links = stored["landed_documents"], stored["certificates"].select("link")
+    assert "BroadcastHashJoin" in plan(only_keys(landed, links, ["link"], 240))
+    for unbounded in (0, BROADCAST_ROWS + 1):
+        assert "Join" not in plan(only_keys(landed, links, ["link"], unbounded))
+
+
+def test_no_broadcast_without_a_bound(spark, stored):
+    with settings(spark, **NO_BROADCAST):
+        assert "BroadcastHashJoin" not in plan(whole(stored))
+
+
+def test_newest_is_combined_before_the_shuffle(stored):
+    text = plan(L.newest_landed(stored["landed_documents"]))
+    assert text.count("Exchange") == 1
+    assert text.index("partial_max") > text.index("Exchange")
+
+
+def test_bucketed_documents_are_not_shuffled(spark, stored):
+    spark.sql("DROP TABLE IF EXISTS landed_plan_buckets")
+    S.save_bucketed(stored["landed_documents"], "landed_plan_buckets", ["link"], 4)
+    with settings(spark, **NO_BROADCAST):
+        landed = spark.table("landed_plan_buckets")
+        assert "Exchange" not in plan(L.newest_landed(landed))
+        text = plan(L.acquire(L.distinct_links(C.normalize(stored["certificates"])), landed))
+        assert text.count("Exchange") == 1 and "SortMergeJoin" in text
+
+
+def test_hot_key_is_split_and_result_stays_whole(spark):
+    """A third of the left rows share a key, another third has none."""
+    rows = 90_000
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id") % 500))
+    left = spark.range(0, rows, 1, 8).select("id", key.alias("k"), F.repeat(F.lit("x"), 50).alias("pad"))
+    right = spark.range(500).select(F.concat(F.lit("k"), "id").alias("rk"), F.lit(1).alias("v"))
+    right = right.union(spark.createDataFrame([("hot", 2)], "rk string, v int"))
+    with settings(
+        spark,
+        **NO_BROADCAST,
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
+        spark__sql__shuffle__partitions="16",
+    ):
+        joined = lookup(left, right, F.col("k"), F.col("rk"), F.col("id"))
+        assert "skew=true" in plan(joined, executed=True)
+        counts = {r.v: r["count"] for r in joined.groupBy("v").count().collect()}
+        spread = joined.filter("k IS NULL").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert counts == {2: rows // 3, 1: rows // 3, None: rows // 3}
+    assert spread > 8
+
+
+def test_newest_by_key_with_one_hot_key(spark):
+    rows = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"),
+        F.col("id").alias("at"),
+        F.concat(F.lit("v"), F.col("id")).alias("v"),
+    )
+    newest = newest_by_key(rows, ["k"], ["v"], "at")
+    assert newest.count() == 40_001
+    assert newest.filter("k = 'hot'").first().v == "v59997"
+
+
+def test_newest_by_key_breaks_ties(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), ("a", None, "z"), (None, 5, "w"), ("b", None, None)],
+                               "k string, at int, v string")
+    assert {tuple(r) for r in newest_by_key(df, ["k"], ["v"], "at").collect()} == {("a", "y"), ("b", None)}
