@@ -152,6 +152,13 @@ def test_hot_key_is_split_and_result_stays_whole(spark):
         joined = lookup(left, right, F.col("k"), F.col("rk"), F.col("id"))
         assert "skew=true" in plan(joined, executed=True)
         counts = {r.v: r["count"] for r in joined.groupBy("v").count().collect()}
+    with settings(
+        spark,
+        **NO_BROADCAST,
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__shuffle__partitions="16",
+    ):
+        joined = lookup(left, right, F.col("k"), F.col("rk"), F.col("id"))
         spread = joined.filter("k IS NULL").select(F.spark_partition_id().alias("p")).distinct().count()
     assert counts == {2: rows // 3, 1: rows // 3, None: rows // 3}
     assert spread > 8
