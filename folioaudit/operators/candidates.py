@@ -60,16 +60,29 @@ def distinct_ids(ids: DataFrame) -> DataFrame:
     return ids.select("doc_idn").distinct()
 
 
+_KEY = "_id_key"
+
+
+def _keyed(df: DataFrame) -> DataFrame:
+    # A one-to-one image of the id. Joined on it, both inputs are plain
+    # shuffles, and adaptive execution can split the rows of one hot id.
+    return df.withColumn(_KEY, F.bitwise_not("doc_idn"))
+
+
+def _known(ids: DataFrame) -> DataFrame:
+    return _keyed(distinct_ids(ids)).select(_KEY)
+
+
 def pending(df: DataFrame, ids: DataFrame | None) -> DataFrame:
     """Rows whose id is not processed; a NULL id never is."""
     if ids is None:
         return df
-    return df.join(distinct_ids(ids), "doc_idn", "left_anti")
+    return _keyed(df).join(_known(ids), _KEY, "left_anti").drop(_KEY)
 
 
 def already_processed(df: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows whose id is processed: the other half of ``pending``."""
-    return df.join(distinct_ids(ids), "doc_idn", "inner")
+    return _keyed(df).join(_known(ids), _KEY, "inner").drop(_KEY)
 
 
 def first_by_id(df: DataFrame, row_limit: int) -> DataFrame:

@@ -47,7 +47,8 @@ def outcomes(docs: DataFrame) -> DataFrame:
 def result_rows(joined: DataFrame, processed_at: dt.datetime | None = None) -> DataFrame:
     """Result columns with their defaults: ``''`` for text, NULL for unknown truth."""
     text = lambda name: F.coalesce(F.col(name), F.lit(""))
-    now = F.current_timestamp() if processed_at is None else F.lit(processed_at).cast("timestamp")
+    # As text, a time without a zone is read in the session's zone.
+    now = F.current_timestamp() if processed_at is None else F.lit(processed_at.isoformat(" ")).cast("timestamp")
     return joined.select(
         F.col("doc_idn").alias("DOC_IDN"),
         F.col("link").alias("LINK"),

@@ -64,8 +64,9 @@ def run(spark: SparkSession, options: AuditOptions) -> int:
             report = diagnose(spark, options).first()
             LOGGER.warning("no candidates: %s", report.asDict())
         return 0
+    # Another run may have finished since the batch was chosen.
+    ids = S.processed_ids(spark, options.target_table, options.filter_already_processed, refresh=True)
     results = audit(
-        # Another run may have finished since the batch was chosen.
         C.pending(batch, ids),
         S.scan(spark, options.landed_table),
         S.scan(spark, options.responses_table),

@@ -23,10 +23,17 @@ def validate_source(df: DataFrame) -> None:
         raise ValueError(f"required source columns are missing: {missing}")
 
 
-def processed_ids(spark: SparkSession, target_table: str, enabled: bool = True) -> DataFrame | None:
-    """Ids in the target, or None when it is absent or the filter is off."""
+def processed_ids(
+    spark: SparkSession, target_table: str, enabled: bool = True, refresh: bool = False
+) -> DataFrame | None:
+    """Ids in the target, or None when it is absent or the filter is off.
+
+    ``refresh`` drops the session's remembered list of the target's files.
+    """
     if not enabled or not spark.catalog.tableExists(target_table):
         return None
+    if refresh:
+        spark.catalog.refreshTable(target_table)
     return spark.table(target_table).select(F.col("DOC_IDN").cast("long").alias("doc_idn"))
 
 
@@ -72,7 +79,8 @@ def save_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int) -> N
     """Store landed rows hashed and sorted by key.
 
     The reduction to the newest row per key and the join on that key then read
-    matching buckets in place, so document text is not shuffled for them.
+    matching buckets in place, so document text is not shuffled for them. All
+    versions of a key share a bucket: keep few of them, or a plain table.
     """
     (
         df.repartition(buckets, *keys)

@@ -164,6 +164,26 @@ def test_hot_key_is_split_and_result_stays_whole(spark):
     assert spread > 8
 
 
+def test_hot_id_is_split_in_both_joins_on_ids(spark):
+    rows = spark.range(0, 120_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_idn"), F.uuid().alias("pad")
+    )
+    ids = spark.range(0, 30_000, 1, 4).select(F.when(F.col("id") % 3 == 0, 9).otherwise(F.col("id")).alias("doc_idn"))
+    with settings(
+        spark,
+        **NO_BROADCAST,
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
+        spark__sql__shuffle__partitions="16",
+    ):
+        assert "skew=true" in plan(C.pending(rows, ids), executed=True)
+        assert "skew=true" in plan(C.already_processed(rows, ids), executed=True)
+        # The hot id 7 is a known one, as are two thirds of the first 30,000.
+        assert C.already_processed(rows, ids).count() == 40_000 + 20_000
+        assert C.pending(rows, ids).count() == 60_000
+
+
 def test_newest_by_key_with_one_hot_key(spark):
     rows = spark.range(0, 60_000, 1, 8).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"),
