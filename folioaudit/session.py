@@ -13,6 +13,8 @@ SETTINGS = {
     # Runtime re-planning: join choice by measured size, skewed partitions split.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Text shrinks well in a shuffle and each row is work: split early.
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
