@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from folioaudit.operators import candidates as C
 from folioaudit.operators.diagnostics import diagnostics
