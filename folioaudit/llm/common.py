@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -63,12 +63,21 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner")
     return left.join(right, image, how).drop(image)
 
 
-def rows_of(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose ``key`` occurs in ``ids``, which has it once.
+def rows_of(docs: DataFrame, ids: DataFrame, key: str = "doc_id", how: str = "left_semi") -> DataFrame:
+    """Rows of ``docs`` whose ``key`` occurs in ``ids``, which has it once; or the others.
 
     A counted, small ``ids`` goes to where the texts are read; a larger one is
     joined by shuffle. Both give the same rows.
     """
     ids = ids.select(key)
     small = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(ids) if small else ids, key, "left_semi")
+    return docs.join(F.broadcast(ids) if small else ids, key, how)
+
+
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """Names a row's document, also one without an id; never NULL.
+
+    Rows without an id are told apart, and spread, by a hash of their text.
+    """
+    lone = F.concat(F.lit("!"), F.xxhash64(text).cast("string"))
+    return F.when(F.col(doc_id).isNotNull(), F.concat(F.lit("="), F.col(doc_id).cast("string"))).otherwise(lone)
