@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioaudit.llm import language, minmax
+from folioaudit.llm import decontaminate, language, linededup, minmax, packing
 from folioaudit.llm.common import checkpointed, rows_of, table
+from folioaudit.llm.rules import HAS_WORD
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,6 +19,18 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return language.accepted(docs)
 
 
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Delete later copies of repeated lines; ``n_chars`` follows the text.
+
+    A document of which nothing is left was a copy throughout and goes.
+    """
+    others = [c for c in docs.columns if c not in ("text", "n_chars")]
+    cut = linededup.without_repeats(docs, *others, "n_chars")
+    left = cut.filter((F.col("n_removed") == 0) | F.col("text").rlike(HAS_WORD))
+    length = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return left.withColumn("n_chars", length).select(*docs.columns)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the first document of each group. Rows without an id name no group and stay."""
     decided = minmax.near_duplicates(docs)
@@ -25,9 +38,22 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return rows_of(docs.filter(F.col("doc_id").isNotNull()), kept).unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a benchmark item."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack what is left into token sequences: one row per piece."""
+    return packing.pack(docs)
+
+
 STAGES = [
     ("language_id", identify_language),
+    ("line_dedup", drop_repeated_lines),
     ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("packing", pack_sequences),
 ]
 
 # The stages learn, hash and pack: SQL can't state them; tests use brute force.

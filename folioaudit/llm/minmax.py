@@ -34,7 +34,8 @@ PERMUTATIONS = 120
 BAND_ROWS = 5
 # With 240 entries in 48 bands of 5, a pair of similarity 0.75 is missed with
 # probability (1 - 0.75 ** 5) ** 48 = 2e-6.
-BLOCK = 128  # members of a bucket that one side of a block pair holds
+BLOCK = 512  # members of a bucket that one side of a block pair holds
+BLOCK_SHINGLES = 1_000_000  # and the shingles of their sets, about
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -168,27 +169,28 @@ def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(_confirmed, "a long, b long")
 
 
-def _unresolved(members: DataFrame, parts: DataFrame) -> DataFrame:
+def _unresolved(members: DataFrame, parts: DataFrame, sizes: DataFrame) -> DataFrame:
     """Members, in blocks, of buckets that hold several components.
 
     The least member is left out: it was compared with all the others. Buckets
     with the same members, as copies make in many bands, count once.
     """
     placed = spread_join(members, parts.select(F.col("node").alias("doc"), "component"), "doc", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "doc"))
+    placed = spread_join(placed.withColumn("component", F.coalesce("component", "doc")), sizes, "doc")
     open_ = (
         placed.groupBy("key")
         .agg(
             F.min("component").alias("low"),
             F.max("component").alias("high"),
             F.count(F.lit(1)).alias("n"),
+            F.sum("size").alias("size"),
             F.sum(F.xxhash64("doc").cast("decimal(20,0)")).alias("content"),
             F.sum(F.xxhash64("doc", F.lit(1)).cast("decimal(20,0)")).alias("content2"),
         )
         .filter("low < high")
         .groupBy("n", "content", "content2")
-        .agg(F.min("key").alias("key"))
-        .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        .agg(F.min("key").alias("key"), F.max("size").alias("size"))
+        .select("key", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     )
     block = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
     return spread_join(placed.select("key", "doc", "component"), open_, "key").withColumn("block", block)
@@ -226,7 +228,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = checkpointed(_confirm(pairs, sets))
     parts = components(links)
 
-    blocks = checkpointed(_unresolved(members, parts))
+    sizes = sets.groupBy("doc").agg(F.max(F.octet_length("found") / 8).cast("long").alias("size"))
+    blocks = checkpointed(_unresolved(members, parts, sizes))
     if not blocks.isEmpty():
         other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
         paired = blocks.withColumn("_other", other).select(

@@ -5,22 +5,65 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import language, minmax
+from . import decontaminate, language, linededup, minmax, packing, pii, rules, secretscan, sharding
 from .common import table
 
+# Key of the registered pseudonym query; a job passes its own secret.
+PSEUDONYM_KEY = "registered query, not a secret"
+
+
+def op1_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(table(spark, sf_dir, "documents"))
+    return placed.withColumn("grown_shard", F.lit(None).cast("int"))
+
 
 def op3_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_segmentation_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages_of(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_minmax_near_dedup, op5_segmentation_unigrams)
-}
+def op6_winnowed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.without_repeats(table(spark, sf_dir, "documents"), "doc_id")
+
+
+def op7_linked_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.secrets(table(spark, sf_dir, "documents"))
+
+
+def op8_certified_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op9_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymised(table(spark, sf_dir, "documents"), PSEUDONYM_KEY, "doc_id")
+
+
+def op10_line_first_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(table(spark, sf_dir, "documents"), "doc_id").drop("clean_text")
+
+
+_ALL = (
+    op1_bounded_ring,
+    op3_minmax_near_dedup,
+    op4_template_decontamination,
+    op5_segmentation_unigrams,
+    op6_winnowed_lines,
+    op7_linked_credentials,
+    op8_certified_packing,
+    op9_feistel_pseudonyms,
+    op10_line_first_rules,
+)
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 ORACLES: dict[str, str] = {
     # All pairs that share a shingle, compared exactly.

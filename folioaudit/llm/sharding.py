@@ -28,7 +28,7 @@ def _point(*parts: Column) -> Column:
 def ring(spark: SparkSession, shards: int, virtual: int) -> list[tuple[int, int]]:
     """Virtual nodes by place, ``(place, shard)``: as many as the parameters say."""
     shard = (F.col("id") % shards).cast("int")
-    nodes = spark.range(shards * virtual).select(_point(F.lit("node"), shard, F.col("id")).alias("place"), shard.alias("shard"))
+    nodes = spark.range(shards * virtual).select(_point(F.lit("node"), shard, F.floor(F.col("id") / shards)).alias("place"), shard.alias("shard"))
     return [(r["place"], r["shard"]) for r in nodes.orderBy("place", "shard").collect()]
 
 
