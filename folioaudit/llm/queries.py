@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, linededup, minmax, packing, pii, rules, secretscan, sharding
+from . import decontaminate, language, linededup, minmax, packing, pii, qualitynet, rules, secretscan, sharding
 from .common import table
 
 # Key of the registered pseudonym query; a job passes its own secret.
@@ -19,6 +19,10 @@ def op1_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op2_byte_convolutions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qualitynet.qualities(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ def op10_line_first_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL = (
     op1_bounded_ring,
+    op2_byte_convolutions,
     op3_minmax_near_dedup,
     op4_template_decontamination,
     op5_segmentation_unigrams,
