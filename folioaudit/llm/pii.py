@@ -242,9 +242,8 @@ def pseudonymised(docs: DataFrame, key: str, *keep: str) -> DataFrame:
     some = F.size("_found") > 0
     new = F.transform("_found", lambda f: pseudonym(f["kind"], f["hit"], key))
     out = out.select("*", F.when(some, new).alias("_new"), F.when(some, F.split(text, ANY)).alias("_between"))
-    joined = F.array_join(
-        F.transform("_between", lambda piece, k: F.concat(piece, F.coalesce(F.get("_new", k), F.lit("")))), ""
-    )
+    # Piece by piece with what follows it; nothing follows the last.
+    joined = F.array_join(F.zip_with("_between", "_new", lambda piece, new: F.concat(piece, F.coalesce(new, F.lit("")))), "")
     counts = [
         F.coalesce(F.size(F.filter("_found", lambda f, k=kind: f["kind"] == k)), F.lit(0)).cast("long").alias(f"n_{kind}") for kind in KINDS
     ]

@@ -35,8 +35,6 @@ BOILERPLATE = (
     "(?i)all rights reserved|licensed under the|released under the|copyright (?:\\(c\\)|©|\\d{4})|©|"
     "cookie policy|privacy policy|terms of (?:use|service)|subscribe to our|accept (?:all )?cookies|powered by"
 )
-# Every match of the pattern holds one of these, which are much cheaper to find.
-BOILERPLATE_SIGNS = ("rights", "censed", "leased", "copyright", "©", "policy", "terms", "subscribe", "cookies", "powered")
 
 
 def words_of(text: Column) -> Column:
@@ -44,11 +42,8 @@ def words_of(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE_PATTERN))
 
 
-def line_fails(line: Column, signs: Column) -> Column:
-    """Does a line that has words fail one of the rules?
-
-    ``signs``: whether its document holds a word that boilerplate needs.
-    """
+def line_fails(line: Column) -> Column:
+    """Does a line that has words fail one of the rules?"""
     symbols = F.regexp_count(line, F.lit(SYMBOLS))
     return (
         ~line.rlike(ENDS_SENTENCE)
@@ -56,7 +51,7 @@ def line_fails(line: Column, signs: Column) -> Column:
         | line.rlike(SHOUTED)
         | line.rlike(NAVIGATION)
         | (10 * symbols > F.length(line))
-        | (signs & line.rlike(BOILERPLATE))
+        | line.rlike(BOILERPLATE)
     )
 
 
@@ -110,20 +105,18 @@ def judged(docs: DataFrame, *keep: str) -> DataFrame:
     repeated rows agree and an empty table gives no rows.
     """
     out = statistics(docs, *keep)
-    lower = F.lower("_text")
-    signs = F.lit(False)
-    for sign in BOILERPLATE_SIGNS:
-        signs = signs | lower.contains(sign)
-    out = out.select("*", signs.alias("_signs"), F.split("_text", "\n").alias("_all"))
-    marks = F.transform("_all", lambda line: line.rlike(HAS_WORD) & line_fails(line, F.col("_signs")))
-    out = out.select("*", marks.alias("_marks"))
-    failing = F.filter("_all", lambda _, k: F.get("_marks", k))
-    lost = F.aggregate(failing, F.lit(0), lambda n, line: n + F.size(words_of(line)))
+    # Line and verdict side by side: looked up by position in a lambda, the
+    # verdicts would be worked out anew for every line.
+    verdict = lambda line: line.rlike(HAS_WORD) & line_fails(line)
+    marked = F.transform(F.split("_text", "\n"), lambda line: F.struct(line.alias("line"), verdict(line).alias("fails")))
+    out = out.select("*", marked.alias("_marked"))
+    failing = F.filter("_marked", lambda x: x["fails"])
+    lost = F.aggregate(failing, F.lit(0), lambda n, x: n + F.size(words_of(x["line"])))
     out = out.select("*", lost.cast("long").alias("lost_words"))
     base = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    passing = F.filter("_all", lambda _, k: ~F.get("_marks", k))
+    passing = F.transform(F.filter("_marked", lambda x: ~x["fails"]), lambda x: x["line"])
     return out.select(
-        *[c for c in out.columns if c not in ("_text", "_signs", "_all", "_marks")],
+        *[c for c in out.columns if c not in ("_text", "_marked")],
         base.alias("base_failed"),
         (~base & (100 * F.col("lost_words") <= MOST_LOST * F.col("n_words"))).alias("kept"),
         F.array_join(passing, "\n").alias("clean_text"),
