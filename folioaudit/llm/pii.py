@@ -244,9 +244,7 @@ def pseudonymised(docs: DataFrame, key: str, *keep: str) -> DataFrame:
     out = out.select("*", F.when(some, new).alias("_new"), F.when(some, F.split(text, ANY)).alias("_between"))
     # Piece by piece with what follows it; nothing follows the last.
     joined = F.array_join(F.zip_with("_between", "_new", lambda piece, new: F.concat(piece, F.coalesce(new, F.lit("")))), "")
-    counts = [
-        F.coalesce(F.size(F.filter("_found", lambda f, k=kind: f["kind"] == k)), F.lit(0)).cast("long").alias(f"n_{kind}") for kind in KINDS
-    ]
+    counted = lambda kind: F.size(F.filter("_found", lambda f: f["kind"] == kind))
+    counts = [F.greatest(counted(kind), F.lit(0)).cast("long").alias(f"n_{kind}") for kind in KINDS]  # -1: no text
     rows = [F.col("_row").getField(c).alias(c) for c in keep]
-    counts = [F.greatest(c, F.lit(0)).cast("long").alias(f"n_{k}") for c, k in zip(counts, KINDS)]
     return out.select(*rows, F.when(some, joined).otherwise(text).alias("text"), *counts)

@@ -90,8 +90,8 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
 
     Strong matches complement weak ones; they are not reported again.
     """
-    if not any(sign in text for sign in (":", "=", "/")):
-        return []
+    if not any(sign in text for sign in (":", "=")) and not any(kind == "access" for kind, _, _ in base):
+        return []  # no identifier and no endpoint without one of these
     identifiers = [(m.start(1), m.end(1), True) for m in IDENTIFIER.finditer(text)]
     endpoints = [(m.start(), m.end(), True) for m in ENDPOINT.finditer(text)]
     strong_ids = [(s, e, False) for kind, s, e in base if kind == "access"]
