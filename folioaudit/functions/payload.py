@@ -12,8 +12,32 @@ from pyspark.sql import functions as F
 _NUMBER = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
 
 
+# The JSON reader refuses strings beyond this length unless it is told otherwise,
+# and the reader of variants can't be told.
+_LONGEST = 20_000_000
+_UNLIMITED = {"maxStringLen": "2147483647"}
+
+
+def _shortened(body: Column) -> Column:
+    """The same JSON with long strings replaced by a mark; types and keys stay."""
+    plain = F.replace(F.replace(body, F.lit("\\\\"), F.lit("bb")), F.lit('\\"'), F.lit("q"))
+    return F.regexp_replace(plain, '"[^"]{1000,}"', '"long"')
+
+
 def parse(body: Column) -> Column:
-    return F.try_parse_json(body)
+    """The body as a variant, for verdicts and types; NULL when it is no JSON.
+
+    Long texts come from ``long_text``: a variant holds none beyond a limit.
+    """
+    return F.try_parse_json(F.when(F.length(body) > _LONGEST, _shortened(body)).otherwise(body))
+
+
+def _long_text(body: Column, schema: str, *path: str) -> Column:
+    """Text at ``path`` of a body that is too long for a variant."""
+    value = F.from_json(body, schema, _UNLIMITED)
+    for name in path:
+        value = value[name]
+    return value
 
 
 def _field(json: Column, path: str) -> Column:
@@ -80,14 +104,21 @@ def _text_or_default(json: Column, path: str) -> Column:
     return F.when(absent, F.lit("")).otherwise(text)
 
 
-def uno_payload(json: Column) -> Column:
+def uno_payload(json: Column, body: Column) -> Column:
     data = _field(json, "$.data")
     absent = data.isNull() & _is_object(F.schema_of_variant(json))
-    return F.when(absent, F.lit("")).otherwise(_text_or_default(data, "$.bytes"))
+    text = F.when(absent, F.lit("")).otherwise(_text_or_default(data, "$.bytes"))
+    return _whole(text, body, "data struct<bytes:string>", "data", "bytes")
+
 
+def planvital_payload(json: Column, body: Column) -> Column:
+    return _whole(_text_or_default(json, "$.data"), body, "data string", "data")
 
-def planvital_payload(json: Column) -> Column:
-    return _text_or_default(json, "$.data")
+
+def _whole(text: Column, body: Column, schema: str, *path: str) -> Column:
+    """``text``, or where its body was shortened what the body really holds there."""
+    long = (F.length(body) > _LONGEST) & (F.length(text) > 0)
+    return F.when(long, _long_text(body, schema, *path)).otherwise(text)
 
 
 def decode_base64(text: Column) -> Column:
@@ -95,29 +126,33 @@ def decode_base64(text: Column) -> Column:
 
     Foreign characters are skipped. Equals signs end the data only where they
     complete a group of four; anywhere else they are skipped too. The text is
-    cut at equals signs, so the fold below has a step per sign, not per byte.
+    cut at equals signs. The fold has a step per sign and keeps numbers only:
+    how much data there is and how many runs it takes.
     """
     runs = F.split(F.regexp_replace(text, "[^A-Za-z0-9+/=]", ""), "=")
 
     def step(state: Column, run: Column) -> Column:
-        partial = F.length(state["data"]) % 4
+        partial = state["size"] % 4
         pads = F.when(partial >= 2, state["pads"] + 1).otherwise(state["pads"])
         closed = state["closed"] | ((partial >= 2) & (partial + pads >= 4))
         return F.struct(
-            F.when(closed, state["data"]).otherwise(F.concat(state["data"], run)).alias("data"),
-            F.when(run == "", pads).otherwise(0).alias("pads"),
+            F.when(closed, state["size"]).otherwise(state["size"] + F.length(run)).alias("size"),
+            F.when(closed, state["taken"]).otherwise(state["taken"] + 1).alias("taken"),
+            F.when(F.length(run) == 0, pads).otherwise(0).alias("pads"),
             closed.alias("closed"),
         )
 
     def finish(state: Column) -> Column:
-        data, size = state["data"], F.length(state["data"])
+        data, size = F.array_join(F.slice(runs, 1, state["taken"]), ""), state["size"]
         whole = F.when(size % 4 == 0, data).when(
             state["closed"], F.rpad(data, (size + 4 - size % 4).cast("int"), "=")
         )
         return F.try_to_binary(whole, F.lit("base64"))
 
     # The first run follows no sign, so it is the state to start from.
-    head = F.struct(runs[0].alias("data"), F.lit(0).alias("pads"), F.lit(False).alias("closed"))
+    head = F.struct(
+        F.length(runs[0]).alias("size"), F.lit(1).alias("taken"), F.lit(0).alias("pads"), F.lit(False).alias("closed")
+    )
     return F.aggregate(F.slice(runs, 2, F.size(runs)), head, step, finish)
 
 

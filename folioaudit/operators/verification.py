@@ -46,8 +46,8 @@ def direct_copies(responses: DataFrame) -> DataFrame:
     json = F.col("json")
     read = parsed.withColumn(
         "payload",
-        F.when((afp == "uno") & P.uno_accepts(json), P.uno_payload(json)).when(
-            (afp == "planvital") & P.planvital_accepts(json), P.planvital_payload(json)
+        F.when((afp == "uno") & P.uno_accepts(json), P.uno_payload(json, body)).when(
+            (afp == "planvital") & P.planvital_accepts(json), P.planvital_payload(json, body)
         ),
     )
     decoded = read.withColumn("decoded", P.decode_base64(F.col("payload")))

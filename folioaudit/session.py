@@ -17,6 +17,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # Of duplicate keys in a JSON object the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
+    # Checkpoints that nothing refers to any more are deleted.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

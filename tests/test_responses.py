@@ -36,7 +36,7 @@ def test_uno(spark):
     assert verdicts(spark, bodies, P.uno_accepts(json())) == [True] + [False] * 6
     bodies = ['{"data":{"bytes":"QQ=="}}', "{}", '{"data":{}}', '{"data":null}', '{"data":{"bytes":null}}',
               '{"data":{"bytes":1}}', '{"data":[]}', '{"data":"x"}']
-    assert verdicts(spark, bodies, P.uno_payload(json())) == ["QQ==", "", "", None, None, None, None, None]
+    assert verdicts(spark, bodies, P.uno_payload(json(), F.col("b"))) == ["QQ==", "", "", None, None, None, None, None]
 
 
 def test_planvital(spark):
@@ -45,7 +45,7 @@ def test_planvital(spark):
     bodies = [f'{{"valid": {v}}}' for v in good + bad] + ["{}", "x", "[true]"]
     assert verdicts(spark, bodies, P.planvital_accepts(json())) == [True] * len(good) + [False] * (len(bad) + 3)
     bodies = ['{"data":"QQ=="}', "{}", '{"data":null}', '{"data":5}']
-    assert verdicts(spark, bodies, P.planvital_payload(json())) == ["QQ==", "", None, None]
+    assert verdicts(spark, bodies, P.planvital_payload(json(), F.col("b"))) == ["QQ==", "", None, None]
 
 
 def python_base64(text):
@@ -70,6 +70,42 @@ def test_base64_of_long_payload(spark):
     assert bytes(got[0]) == raw
 
 
+def test_base64_takes_time_in_proportion(spark):
+    """A sign every five characters, a megabyte of them: each is skipped."""
+    import time
+
+    text = "QUJD=" * 200_000
+    df = spark.createDataFrame([(text,)], "b string").select(F.length(P.decode_base64(F.col("b"))).alias("n"))
+    df.collect()
+    began = time.perf_counter()
+    assert df.first().n == 600_000
+    assert time.perf_counter() - began < 3
+
+
+def test_payloads_have_no_length_limit(spark):
+    """Twenty million characters and more, which variants refuse."""
+    for size in (19_999_996, 20_000_004):
+        text = "QUJD" * (size // 4)
+        rows = [(f'{{"codigo":"0","n":"a\\"b","data":{{"bytes":"{text}"}}}}', f'{{"valid":true,"data":"{text}"}}')]
+        df = spark.createDataFrame(rows, "u string, p string")
+        u, p = P.parse(F.col("u")), P.parse(F.col("p"))
+        got = df.select(
+            P.uno_accepts(u).alias("a"),
+            P.planvital_accepts(p).alias("b"),
+            F.xxhash64(P.uno_payload(u, F.col("u"))).alias("c"),
+            F.xxhash64(P.planvital_payload(p, F.col("p"))).alias("d"),
+            F.xxhash64(F.lit(text[:4])).alias("e"),
+            F.length(P.uno_payload(u, F.col("u"))).alias("n"),
+        ).first()
+        want = spark.createDataFrame([(text,)], "t string").select(F.xxhash64("t")).first()[0]
+        assert (got.a, got.b, got.c, got.d, got.n) == (True, True, want, want, size)
+
+
+def test_last_duplicate_key_counts(spark):
+    bodies = ['{"codigo":"1","codigo":"0"}', '{"codigo":"0","codigo":"1"}']
+    assert verdicts(spark, bodies, P.uno_accepts(json())) == [True, False]
+
+
 def test_status(spark):
     assert evaluate(spark, [(200,), (404,), (None,)], "s int", P.http_ok(F.col("s"))) == [True, False, False]
 

@@ -294,14 +294,14 @@ QUERIES: dict[str, Query] = {
     "r5_planvital_verdict": _query(
         _responses("planvital", lambda: payload.planvital_accepts(F.col("json")).alias("accepted"))
     ),
-    "r6_uno_payload": _query(_responses("uno", lambda: payload.uno_payload(F.col("json")).alias("payload"))),
+    "r6_uno_payload": _query(_responses("uno", lambda: payload.uno_payload(F.col("json"), F.col("body")).alias("payload"))),
     "r6_planvital_payload": _query(
-        _responses("planvital", lambda: payload.planvital_payload(F.col("json")).alias("payload"))
+        _responses("planvital", lambda: payload.planvital_payload(F.col("json"), F.col("body")).alias("payload"))
     ),
     "r7_base64_decode": _query(
         _responses(
             "planvital",
-            lambda: payload.decoded_text(payload.planvital_payload(F.col("json"))).alias("decoded"),
+            lambda: payload.decoded_text(payload.planvital_payload(F.col("json"), F.col("body"))).alias("decoded"),
         )
     ),
     "r8_audit_status": _query(
