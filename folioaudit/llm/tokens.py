@@ -16,8 +16,10 @@ from collections.abc import Iterator
 import numpy as np
 from tokenizers import Tokenizer
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 GROUP_WORDS = 300_000
+_SIZE_BITS = 24
+_SIZES = (1 << _SIZE_BITS) - 1
 # A word of Latin-1 letters with ASCII punctuation behind it. Such letters are
 # already composed and have one lower-case form each, so the normalizer does
 # to them what str.lower() does. No apostrophes: they join letters behind them.
@@ -44,49 +46,66 @@ class WordIds(dict):
         plain["normalizer"], plain["post_processor"], plain["added_tokens"] = None, None, []
         plain["pre_tokenizer"] = {"type": "WhitespaceSplit"}
         self.words = Tokenizer.from_str(json.dumps(plain)) if self.quick else None
-        self.letters = _byte_letters()
-        self.final = {i for w, i in self.full.get_vocab().items() if self.suffix and w.endswith(self.suffix)}
-        self.base: dict[str, list[int]] = {}
+        # Spaces part the words and stay; no word holds one.
+        self.letters = _byte_letters() | {32: " "}
+        size = max(self.full.get_vocab().values()) + 1
+        self.final = np.zeros(size, bool)
+        self.final[[i for w, i in self.full.get_vocab().items() if self.suffix and w.endswith(self.suffix)]] = True
+        self.base: dict[str, int] = {}
         self.reset()
 
     def reset(self) -> None:
         self.clear()
         self.base.clear()
         self.new: list[bytes] = []
-        self.flat, self.starts, self.sizes = array("I"), array("q"), array("q")
+        # Ids of all words in a row; a word's code is its start there and its size.
+        self.flat, self.codes = array("I"), array("q")
 
     def __missing__(self, chunk: bytes) -> int:
         self[chunk] = at = len(self)
         self.new.append(chunk)
         return at
 
+    def _add(self, ids: list[int]) -> int:
+        code = (len(self.flat) << _SIZE_BITS) | len(ids)
+        self.flat.extend(ids)
+        return code
+
     def _encode_words(self, words: list[str]) -> None:
         for at in range(0, len(words), 2000):
             some = words[at : at + 2000]
-            mapped = " ".join(w.encode().decode("latin-1").translate(self.letters) for w in some)
-            ids, first, n = self.words.encode_batch_fast([mapped], add_special_tokens=False)[0].ids, 0, 0
-            for k, i in enumerate(ids):
-                if i in self.final:
-                    self.base[some[n]] = ids[first : k + 1]
-                    first, n = k + 1, n + 1
-            assert n == len(some), "a word did not end where the tokenizer ends it"
+            mapped = " ".join(some).encode().decode("latin-1").translate(self.letters)
+            ids = np.array(self.words.encode_batch_fast([mapped], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.final[ids]) + 1
+            assert len(ends) == len(some), "a word did not end where the tokenizer ends it"
+            starts = np.concatenate([[0], ends[:-1]])
+            codes = (starts + len(self.flat) << _SIZE_BITS) | (ends - starts)
+            self.flat.frombytes(ids.tobytes())
+            self.base.update(zip(some, codes.tolist()))
 
     def settle(self) -> None:
         """Encode the chunks met since the last call."""
-        parsed = []
+        words, tails = [], []
         for chunk in self.new:
             text = chunk.decode("utf-8", "replace")
-            match = _PLAIN.fullmatch(text) if self.quick else None
-            parsed.append((match[1].lower(), match[2]) if match else text)
-        unknown = {p[0] for p in parsed if isinstance(p, tuple)} - self.base.keys()
-        self._encode_words(sorted(unknown))
-        rest = sorted({p if isinstance(p, str) else p[1] for p in parsed} - self.base.keys() - {""})
+            tail = ""
+            if not (self.quick and text.isascii() and text.isalpha()):
+                match = _PLAIN.fullmatch(text) if self.quick else None
+                text, tail = (match[1], match[2]) if match else (None, text)
+            words.append(None if text is None else text.lower())
+            tails.append(tail)
+        self._encode_words(sorted(set(words).difference(self.base, (None,))))
+        rest = sorted(set(tails).difference(("",)))
         others = dict(zip(rest, (e.ids for e in self.full.encode_batch_fast(rest, add_special_tokens=False))))
-        for p in parsed:
-            ids = others[p] if isinstance(p, str) else self.base[p[0]] + (others[p[1]] if p[1] else [])
-            self.starts.append(len(self.flat))
-            self.sizes.append(len(ids))
-            self.flat.extend(ids)
+        for word, tail in zip(words, tails):
+            if word is None:
+                self.codes.append(self._add(others[tail]))
+            elif not tail:
+                self.codes.append(self.base[word])
+            else:
+                code = self.base[word]
+                start, size = code >> _SIZE_BITS, code & _SIZES
+                self.codes.append(self._add([*self.flat[start : start + size], *others[tail]]))
         self.new = []
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
@@ -107,7 +126,8 @@ class WordIds(dict):
 
     def _gathered(self, held: list[np.ndarray]) -> Iterator[np.ndarray]:
         self.settle()
-        flat, starts, sizes = np.array(self.flat, np.uint32), np.array(self.starts, np.int64), np.array(self.sizes, np.int64)
+        flat, codes = np.array(self.flat, np.uint32), np.array(self.codes, np.int64)
+        starts, sizes = codes >> _SIZE_BITS, codes & _SIZES
         for rows in held:
             own = sizes[rows]
             ends = np.cumsum(own)
