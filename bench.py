@@ -49,7 +49,7 @@ def workloads(tables: dict[str, DataFrame], prefix: str) -> dict:
 
     def whole(row_limit: int, known: DataFrame | None):
         batch = C.candidates(t["certificates"], known, ALWAYS, row_limit)
-        return audit(batch, t["landed_documents"], t["issuer_responses"], X.PROCESSED_AT, max(row_limit, 0))
+        return audit(batch, t["landed_documents"], t["issuer_responses"], X.PROCESSED_AT)
 
     def extracted():
         docs = L.acquire(L.distinct_links(C.normalize(t["certificates"])), t["landed_documents"])

@@ -12,6 +12,10 @@ class AuditOptions:
     target_table: str = "audit_results"
     landed_table: str = "landed_documents"
     responses_table: str = "issuer_responses"
+    # Folders with landed text files, read beside the tables. Documents are
+    # named by their path; copies by their code, and the newest file counts.
+    landed_folder: str | None = None
+    capital_folder: str | None = None
     lookback_days: int = 30
     # Zero or less means no limit.
     row_limit: int = 240

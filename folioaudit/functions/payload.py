@@ -27,19 +27,11 @@ def _shortened(body: Column) -> Column:
 def parse(body: Column) -> Column:
     """The body as a variant, for verdicts and types; NULL when it is no JSON.
 
-    Long texts come from ``long_text``: a variant holds none beyond a limit.
+    Payload texts are read from the body itself: a variant has a size limit.
     """
     return F.try_parse_json(F.when(F.length(body) > _LONGEST, _shortened(body)).otherwise(body))
 
 
-def _long_text(body: Column, schema: str, *path: str) -> Column:
-    """Text at ``path`` of a body that is too long for a variant."""
-    value = F.from_json(body, schema, _UNLIMITED)
-    for name in path:
-        value = value[name]
-    return value
-
-
 def _field(json: Column, path: str) -> Column:
     return F.try_variant_get(json, path, "variant")
 
@@ -70,7 +62,7 @@ def habitat_accepts(json: Column) -> Column:
 
 def habitat_path(json: Column) -> Column:
     """``mensaje``: ``''`` when absent, NULL when it is not text."""
-    return _text_or_default(json, "$.mensaje")
+    return _text_or_default(json, "$.mensaje", F.try_variant_get(json, "$.mensaje", "string"))
 
 
 def provida_accepts(body: Column) -> Column:
@@ -97,28 +89,21 @@ def planvital_accepts(json: Column) -> Column:
     return _true(truthy)
 
 
-def _text_or_default(json: Column, path: str) -> Column:
-    """Text at ``path``; ``''`` when absent from an object, NULL otherwise."""
+def _text_or_default(json: Column, path: str, text: Column) -> Column:
+    """``text`` where ``path`` holds text; ``''`` when absent from an object, NULL otherwise."""
     absent = _field(json, path).isNull() & _is_object(F.schema_of_variant(json))
-    text = F.when(_kind(json, path) == "STRING", F.try_variant_get(json, path, "string"))
-    return F.when(absent, F.lit("")).otherwise(text)
+    return F.when(absent, F.lit("")).when(_kind(json, path) == "STRING", text)
 
 
 def uno_payload(json: Column, body: Column) -> Column:
     data = _field(json, "$.data")
     absent = data.isNull() & _is_object(F.schema_of_variant(json))
-    text = F.when(absent, F.lit("")).otherwise(_text_or_default(data, "$.bytes"))
-    return _whole(text, body, "data struct<bytes:string>", "data", "bytes")
+    text = F.from_json(body, "data struct<bytes:string>", _UNLIMITED)["data"]["bytes"]
+    return F.when(absent, F.lit("")).otherwise(_text_or_default(data, "$.bytes", text))
 
 
 def planvital_payload(json: Column, body: Column) -> Column:
-    return _whole(_text_or_default(json, "$.data"), body, "data string", "data")
-
-
-def _whole(text: Column, body: Column, schema: str, *path: str) -> Column:
-    """``text``, or where its body was shortened what the body really holds there."""
-    long = (F.length(body) > _LONGEST) & (F.length(text) > 0)
-    return F.when(long, _long_text(body, schema, *path)).otherwise(text)
+    return _text_or_default(json, "$.data", F.from_json(body, "data string", _UNLIMITED)["data"])
 
 
 def decode_base64(text: Column) -> Column:

@@ -7,10 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Batches up to this many rows may be broadcast to filter a big table.
-BROADCAST_ROWS = 10_000
-
-
 def newest_by_key(df: DataFrame, keys: Sequence[str], values: Sequence[str], order: str) -> DataFrame:
     """The latest row per key.
 
@@ -34,16 +30,16 @@ def _all_set(keys: Sequence[str]) -> Column:
     return condition
 
 
-def only_keys(df: DataFrame, batch: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
-    """Rows of ``df`` whose key occurs in a batch of at most ``rows`` rows.
+def only_keys(df: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key occurs in ``batch``, whatever the size of either.
 
-    A batch known to be small goes to the big table, which then is filtered
-    where it is read. Otherwise nothing is done here: the join that follows
-    shuffles each side once and drops the rest.
+    Spark picks the join by the sizes it measures. Both sides are dealt out on
+    an image of the key, so that a key with very many rows can be split.
     """
-    if not 0 < rows <= BROADCAST_ROWS:
-        return df
-    return df.join(F.broadcast(batch.select(*keys).distinct()), list(keys), "left_semi")
+    image = "_wanted_key"
+    key = F.to_json(F.struct(*keys))
+    wanted = batch.filter(_all_set(keys)).select(*keys).distinct().select(key.alias(image))
+    return df.withColumn(image, F.when(_all_set(keys), key)).join(wanted, image, "left_semi").drop(image)
 
 
 def lookup(left: DataFrame, right: DataFrame, left_key: Column, right_key: Column, spread: Column) -> DataFrame:

@@ -23,12 +23,12 @@ def newest_landed(landed: DataFrame, columns: Sequence[str] = LANDED_COLUMNS) ->
     return newest_by_key(landed, LANDED_KEY, columns, LANDED_AT)
 
 
-def acquire(links: DataFrame, landed: DataFrame, rows: int = 0) -> DataFrame:
+def acquire(links: DataFrame, landed: DataFrame) -> DataFrame:
     """Landed content per address, with ``obtained``; content is NULL without it.
 
-    ``rows`` bounds the number of links, 0 meaning unknown.
+    Rows of other addresses are dropped before versions are compared.
     """
-    found = newest_landed(only_keys(landed, links, LANDED_KEY, rows))
+    found = newest_landed(only_keys(landed, links, LANDED_KEY))
     joined = links.join(found, "link", "left")
     obtained = http_ok(F.col("http_status"))
     content = [F.when(obtained, F.col(c)).alias(c) for c in LANDED_COLUMNS if c != "http_status"]

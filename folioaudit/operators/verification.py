@@ -65,7 +65,7 @@ def direct_copies(responses: DataFrame) -> DataFrame:
     )
 
 
-def followed_copies(responses: DataFrame, landed: DataFrame, rows: int = 0) -> DataFrame:
+def followed_copies(responses: DataFrame, landed: DataFrame) -> DataFrame:
     """Copies behind a path named in the response: a second lookup, by address.
 
     Only addresses of the issuer's site can match, and that filter reaches the
@@ -83,16 +83,16 @@ def followed_copies(responses: DataFrame, landed: DataFrame, rows: int = 0) -> D
     )
     on_site = landed.filter(F.col("link").startswith(SITE))
     wanted = named.select(F.col("url").alias("link")).filter(F.col("link").isNotNull())
-    content = newest_landed(only_keys(on_site, wanted, LANDED_KEY, rows), ("http_status", "text")).select(
+    content = newest_landed(only_keys(on_site, wanted, LANDED_KEY), ("http_status", "text")).select(
         "link", F.when(P.http_ok(F.col("http_status")), F.col("text")).alias("copy_text")
     )
     found = lookup(named, content, F.col("url"), F.col("link"), F.col("request_key"))
     return found.select("afp", "request_key", "copy_text")
 
 
-def issuer_copies(responses: DataFrame, landed: DataFrame, rows: int = 0) -> DataFrame:
+def issuer_copies(responses: DataFrame, landed: DataFrame) -> DataFrame:
     """One folded copy per request; NULL text means the request failed."""
-    copies = direct_copies(responses).unionByName(followed_copies(responses, landed, rows))
+    copies = direct_copies(responses).unionByName(followed_copies(responses, landed))
     return copies.withColumn("copy_text", fold(F.col("copy_text")))
 
 
@@ -101,13 +101,13 @@ def _joint_key(afp: Column, key: Column) -> Column:
     return F.concat(afp, F.lit("/"), key)
 
 
-def verify(docs: DataFrame, responses: DataFrame, landed: DataFrame, rows: int = 0) -> DataFrame:
+def verify(docs: DataFrame, responses: DataFrame, landed: DataFrame) -> DataFrame:
     """Attach ``copy_text`` to each document; NULL where there is no good copy.
 
-    ``rows`` bounds the number of documents, 0 meaning unknown.
+    Only responses that some document asks for are reduced, parsed and decoded.
+    ``docs`` is used twice: store it first where it is dear.
     """
-    wanted = docs.select(*RESPONSE_KEY).filter(F.col("request_key").isNotNull())
-    copies = issuer_copies(only_keys(responses, wanted, RESPONSE_KEY, rows), landed, rows)
+    copies = issuer_copies(only_keys(responses, docs, RESPONSE_KEY), landed)
     copies = copies.select(
         F.col("afp").alias("_afp"), F.col("request_key").alias("_key"), "copy_text"
     )

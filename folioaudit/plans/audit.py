@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from ..config import AuditOptions
 from ..operators import candidates as C
 from ..operators.diagnostics import diagnostics
-from ..operators.joins import BROADCAST_ROWS, lookup
+from ..operators.joins import lookup
 from ..operators.landing import acquire, clean_metadata, distinct_links, extract_fields
 from ..operators.status import outcomes, result_rows
 from ..operators.verification import compare, verify, with_request
-from ..session import ensure_checkpoint_dir
+from ..session import scratch, stored
 from ..sources import tables as S
 
 LOGGER = logging.getLogger(__name__)
@@ -27,56 +27,69 @@ def audit(
     landed: DataFrame,
     responses: DataFrame,
     processed_at: dt.datetime | None = None,
-    rows: int = 0,
-    cut: Callable[[DataFrame], DataFrame] | None = None,
+    store: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One result row per candidate row.
 
     The audit itself is done once per address: fields, copy and difference
-    depend on nothing else. ``rows`` bounds the candidates, 0 meaning unknown;
-    with a small bound the landed documents are filtered where they are read.
-    ``cut`` stores that small batch of documents; the responses are then
-    filtered by it too, which would otherwise read the documents once more.
+    depend on nothing else. The plan is the same for every number of
+    candidates. ``store`` keeps the extracted documents, which are used twice:
+    to choose the responses they ask for, and to be compared with them. Unless
+    it is given they are checkpointed.
     """
-    docs = acquire(distinct_links(candidates), landed, rows)
-    docs = with_request(extract_fields(clean_metadata(docs)))
-    known = 0
-    if cut is not None and 0 < rows <= BROADCAST_ROWS:
-        docs, known = cut(docs), rows
-    checked = outcomes(compare(verify(docs, responses, landed, known)))
+    store = stored if store is None else store
+    docs = acquire(distinct_links(candidates), landed)
+    docs = store(with_request(extract_fields(clean_metadata(docs))))
+    checked = outcomes(compare(verify(docs, responses, landed)))
     checked = checked.withColumnRenamed("link", "_link")
     joined = lookup(candidates, checked, F.col("link"), F.col("_link"), F.col("doc_idn"))
     return result_rows(joined, processed_at)
 
 
+def landed_documents(spark: SparkSession, options: AuditOptions) -> DataFrame:
+    """The landed table, and the files of the landed folder where one is named."""
+    landed = S.scan(spark, options.landed_table)
+    if options.landed_folder:
+        landed = landed.unionByName(S.read_landed_files(spark, options.landed_folder), allowMissingColumns=True)
+    return landed
+
+
+def issuer_responses(spark: SparkSession, options: AuditOptions) -> DataFrame:
+    """The response table, and the newest downloaded copies of one issuer."""
+    responses = S.scan(spark, options.responses_table)
+    if options.capital_folder:
+        copies = S.read_copy_files(spark, options.capital_folder, "capital")
+        responses = responses.unionByName(copies, allowMissingColumns=True)
+    return responses
+
+
 def run(spark: SparkSession, options: AuditOptions) -> int:
     """Audit the documents that are due and append them; returns their number."""
     source = S.scan(spark, options.source_table)
     S.validate_source(source)
     ids = S.processed_ids(spark, options.target_table, options.filter_already_processed)
-    ensure_checkpoint_dir(spark)
-    # Four narrow columns. Stored, the batch is fixed: it is not chosen anew
-    # when the second use or a lost executor asks for it.
-    batch = C.candidates(source, ids, options.cutoff(), options.row_limit).checkpoint()
-    if batch.isEmpty():
-        LOGGER.info("no new documents to audit")
-        if options.enable_candidate_diagnostics:
-            report = diagnose(spark, options).first()
-            LOGGER.warning("no candidates: %s", report.asDict())
-        return 0
-    # Another run may have finished since the batch was chosen.
-    ids = S.processed_ids(spark, options.target_table, options.filter_already_processed, refresh=True)
-    results = audit(
-        C.pending(batch, ids),
-        S.scan(spark, options.landed_table),
-        S.scan(spark, options.responses_table),
-        options.processed_at,
-        max(options.row_limit, 0),
-        lambda df: df.checkpoint(),
-    )
-    count = S.append_results(results, options.target_table, options.table_format)
-    LOGGER.info("appended %s rows to %s", count, options.target_table)
-    return count
+    with scratch(spark) as held:
+        # Four narrow columns. Stored, the batch is fixed: it is not chosen anew
+        # when the second use or a lost executor asks for it.
+        batch = held.store(C.candidates(source, ids, options.cutoff(), options.row_limit))
+        span = batch.agg(F.count(F.lit(1)).alias("n"), F.min("doc_idn").alias("low"), F.max("doc_idn").alias("high")).first()
+        if not span.n:
+            LOGGER.info("no new documents to audit")
+            if options.enable_candidate_diagnostics:
+                report = diagnose(spark, options).first()
+                LOGGER.warning("no candidates: %s", report.asDict())
+            return 0
+        LOGGER.info("auditing %s documents", span.n)
+        # Another run may have finished since the batch was chosen.
+        ids = S.processed_ids(
+            spark, options.target_table, options.filter_already_processed, refresh=True, between=(span.low, span.high)
+        )
+        if ids is not None:
+            batch = held.store(C.pending(batch, ids))
+        results = audit(batch, landed_documents(spark, options), issuer_responses(spark, options), options.processed_at, held.store)
+        counts = S.append_results(results, options.target_table, options.table_format)
+    LOGGER.info("appended to %s: %s", options.target_table, counts)
+    return counts["rows"]
 
 
 def diagnose(spark: SparkSession, options: AuditOptions) -> DataFrame:

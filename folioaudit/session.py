@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # Dates and timestamps mean the same on every machine.
@@ -46,3 +48,40 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="audit-checkpoint-", dir=os.environ.get("TMPDIR")))
     else:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed in the shared folder: fixed rows and a short plan."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
+class Scratch:
+    """Stored intermediate results of one job, in the shared checkpoint folder."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        ensure_checkpoint_dir(spark)
+        self.spark, self.count = spark, 0
+        self.folder = f"{spark.sparkContext.getCheckpointDir()}/job-{uuid.uuid4().hex}"
+
+    def store(self, df: DataFrame) -> DataFrame:
+        """Write ``df`` and read it back: fixed rows, short lineage, columns pruned."""
+        self.count += 1
+        path = f"{self.folder}/{self.count}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """A ``Scratch`` that is removed whatever happens: it may hold personal data."""
+    held = Scratch(spark)
+    try:
+        yield held
+    finally:
+        held.remove()

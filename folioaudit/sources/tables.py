@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.status import NOT_OBTAINED, REJECTED, RETURNED
 from ..schema import REQUIRED_SOURCE_COLUMNS, RESULT_SCHEMA
 
 # Fixed value: suffix of a download still in progress.
 PARTIAL_SUFFIX = ".crdownload"
 
+# What the outcomes are called in a report.
+OUTCOMES = {"verified": RETURNED, "rejected": REJECTED, "not_obtained": NOT_OBTAINED, "not_asked": ""}
+
 
 def scan(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
@@ -24,17 +28,25 @@ def validate_source(df: DataFrame) -> None:
 
 
 def processed_ids(
-    spark: SparkSession, target_table: str, enabled: bool = True, refresh: bool = False
+    spark: SparkSession,
+    target_table: str,
+    enabled: bool = True,
+    refresh: bool = False,
+    between: tuple[int, int] | None = None,
 ) -> DataFrame | None:
     """Ids in the target, or None when it is absent or the filter is off.
 
     ``refresh`` drops the session's remembered list of the target's files.
+    ``between`` reads ids in that range only; the filter reaches the scan.
     """
     if not enabled or not spark.catalog.tableExists(target_table):
         return None
     if refresh:
         spark.catalog.refreshTable(target_table)
-    return spark.table(target_table).select(F.col("DOC_IDN").cast("long").alias("doc_idn"))
+    target = spark.table(target_table)
+    if between is not None:
+        target = target.filter(F.col("DOC_IDN").between(*between))
+    return target.select(F.col("DOC_IDN").cast("long").alias("doc_idn"))
 
 
 def newest_files(files: DataFrame, seen: DataFrame | None, *keys: str) -> DataFrame:
@@ -75,6 +87,27 @@ def read_landed_files(spark: SparkSession, path: str, glob: str = "*") -> DataFr
     )
 
 
+def read_copy_files(spark: SparkSession, path: str, afp: str) -> DataFrame:
+    """A folder of downloaded copies as issuer responses: the newest file per code.
+
+    A file's name up to its first dot, dashes read as colons, is the request
+    key. Files still being downloaded don't count.
+    """
+    files = read_landed_files(spark, path)
+    code = F.replace(F.regexp_extract("link", r"([^/.]+)[^/]*$", 1), F.lit("-"), F.lit(":"))
+    keyed = files.select(F.col("link").alias("path"), F.col("landed_at").alias("modificationTime"), code.alias("request_key"))
+    newest = newest_files(keyed, None, "request_key")
+    found = newest.join(files, (F.col("path") == F.col("link")) & (F.col("modificationTime") == F.col("landed_at")))
+    return found.select(
+        F.lit(afp).alias("afp"),
+        "request_key",
+        F.lit(200).alias("http_status"),
+        F.lit("file").alias("body"),
+        F.col("text").alias("document_text"),
+        "landed_at",
+    )
+
+
 def save_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int) -> None:
     """Store landed rows hashed and sorted by key.
 
@@ -96,9 +129,11 @@ def conform(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RESULT_SCHEMA])
 
 
-def append_results(df: DataFrame, target_table: str, table_format: str = "parquet") -> int:
-    """Append and return the rows written, counted by the write itself."""
+def append_results(df: DataFrame, target_table: str, table_format: str = "parquet") -> dict[str, int]:
+    """Append; returns ``rows`` and the rows per outcome, counted by the write itself."""
     written = Observation("appended")
-    rows = conform(df).observe(written, F.count(F.lit(1)).alias("rows"))
+    outcome = F.col("RES_AFP")
+    counts = [F.count_if(outcome == value).alias(name) for name, value in OUTCOMES.items()]
+    rows = conform(df).observe(written, F.count(F.lit(1)).alias("rows"), *counts)
     rows.write.format(table_format).mode("append").saveAsTable(target_table)
-    return int(written.get["rows"])
+    return {name: int(n or 0) for name, n in written.get.items()}

@@ -99,11 +99,16 @@ def check_outcomes(rows):
     return {link: by_id[n] for n, link in enumerate(CASES)}
 
 
-@pytest.mark.parametrize("rows,cut", [(0, None), (50, None), (50, "checkpoint")])
-def test_outcomes(spark, rows, cut):
+@pytest.mark.parametrize("as_files", [False, True])
+def test_outcomes(spark, as_files, tmp_path):
     source, landed, responses = tables(spark)
     columns = [F.col(c).alias(c.lower()) for c in source.columns]
-    df = audit(source.select(*columns), landed, responses, NOW, rows, (lambda d: d.checkpoint()) if cut else None)
+
+    def as_parquet(docs):
+        docs.write.parquet(f"{tmp_path}/docs")
+        return spark.read.schema(docs.schema).parquet(f"{tmp_path}/docs")
+
+    df = audit(source.select(*columns), landed, responses, NOW, as_parquet if as_files else None)
     assert df.columns == [f.name for f in RESULT_SCHEMA]
     got = df.collect()
     assert len(got) == source.count()
@@ -144,6 +149,47 @@ def test_run_in_batches(spark, options):
     assert run(spark, small) == 0
 
 
+def test_nothing_is_left_in_the_shared_folder(spark, options, caplog):
+    """Stored texts are removed after a run, and outcomes are counted on the write."""
+    from pathlib import Path
+
+    spark.sql("DROP TABLE IF EXISTS audit_test.counted")
+    with caplog.at_level("INFO"):
+        run(spark, dataclasses.replace(options, target_table="audit_test.counted", row_limit=9))
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    assert not list(folder.glob("job-*"))
+    assert "'rows': 9" in caplog.text and "'not_obtained': 2" in caplog.text
+
+
+def test_landed_folders_reach_the_result(spark, options, tmp_path):
+    """A document that landed as a file, and the newest file as Capital's copy."""
+    import os
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "copies").mkdir()
+    paper_file = tmp_path / "in" / "one.txt"
+    paper_file.write_text(CAP)
+    for name, text, at in (("a", CAP + "\nstale", 1), ("b", CAP + "\nnewest", 2), ("c.crdownload", "partial", 3)):
+        path = tmp_path / "copies" / f"{CAPITAL}.{name}"
+        path.write_text(text)
+        os.utime(path, (1_700_000_000 + at,) * 2)
+    link = S.read_landed_files(spark, str(tmp_path / "in")).first().link
+    spark.createDataFrame([(1, link, dt.date(2024, 4, 1), NEW)], "DOC_IDN long, LINK string, PERIODO_PRODUCCION date, FECHA_INGRESO timestamp").createOrReplaceTempView("file_source")
+    spark.sql("DROP TABLE IF EXISTS audit_test.from_files")
+    spark.table(options.responses_table).filter("afp <> 'capital'").createOrReplaceTempView("other_responses")
+    folders = dataclasses.replace(
+        options,
+        source_table="file_source",
+        responses_table="other_responses",
+        target_table="audit_test.from_files",
+        landed_folder=str(tmp_path / "in"),
+        capital_folder=str(tmp_path / "copies"),
+    )
+    assert run(spark, folders) == 1
+    row = spark.table("audit_test.from_files").first()
+    assert (row.RES_AFP, row.ES_DIF, row.RES_DIF) == ("ok", True, "- newest")
+
+
 def test_nothing_recent_makes_no_table(spark, options):
     late = dataclasses.replace(options, target_table="audit_test.never", as_of=dt.date(2030, 1, 1))
     assert run(spark, late) == 0

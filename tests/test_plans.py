@@ -12,8 +12,9 @@ from folioaudit.operators import candidates as C
 from folioaudit.operators import landing as L
 from folioaudit.operators import verification as V
 from folioaudit.operators.diagnostics import diagnostics
-from folioaudit.operators.joins import BROADCAST_ROWS, lookup, newest_by_key, only_keys
+from folioaudit.operators.joins import lookup, newest_by_key, only_keys
 from folioaudit.plans.audit import audit
+from folioaudit.session import stored as stored_
 from folioaudit.sources import tables as S
 from workload.queries import Data
 
@@ -56,7 +57,7 @@ def stored(spark, sf_dir, tmp_path_factory):
 
 def whole(stored, row_limit=0, **options):
     batch = C.candidates(stored["certificates"], None, CUTOFF, row_limit)
-    return audit(batch, stored["landed_documents"], stored["issuer_responses"], None, row_limit, **options)
+    return audit(batch, stored["landed_documents"], stored["issuer_responses"], None, **options)
 
 
 def test_lookback_and_columns_reach_the_scan(stored):
@@ -73,9 +74,9 @@ def test_top_k_is_fused(stored):
 
 def test_no_python_and_no_cross_join(spark, sf_dir, stored):
     data = Data(spark, sf_dir)
-    for df in (whole(stored), whole(stored, 10), V.verify(V.with_request(data.extracted), data.issuer_responses, data.landed_documents)):
+    for df in (whole(stored), whole(stored, 10), V.verify(stored_(V.with_request(data.extracted)), data.issuer_responses, data.landed_documents)):
         text = plan(df)
-        for bad in ("EvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "InPandas", "ExistingRDD"):
+        for bad in ("EvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "InPandas"):
             assert bad not in text
 
 
@@ -106,11 +107,31 @@ def test_patterns_are_not_evaluated_twice(stored):
     assert text.count("certificado(?:") == 1
 
 
-def test_small_batch_filters_the_landed_scan(stored):
-    landed, links = stored["landed_documents"], stored["certificates"].select("link")
-    assert "BroadcastHashJoin" in plan(only_keys(landed, links, ["link"], 240))
-    for unbounded in (0, BROADCAST_ROWS + 1):
-        assert "Join" not in plan(only_keys(landed, links, ["link"], unbounded))
+def test_wanted_rows_are_chosen_before_versions_are_compared(spark, stored):
+    """The same steps at every limit, and JSON read only where a document asks."""
+    shapes = set()
+    with settings(spark, **NO_BROADCAST):
+        for row_limit in (240, 10_001, 0):
+            text = plan(whole(stored, row_limit))
+            text = text.replace("TakeOrderedAndProject", "Project")
+            shapes.add((text.count("LeftSemi"), text.count("SortMergeJoin"), "parseJson" in text))
+        assert len(shapes) == 1
+        wanted = only_keys(stored["issuer_responses"], V.with_request(whole_docs(stored)), ["afp", "request_key"])
+        responses = plan(V.direct_copies(wanted))
+    # Plans print top down: parsing above the reduction above the semi-join.
+    steps = [responses.index("parseJson"), responses.index("max(struct"), responses.index("LeftSemi")]
+    assert steps == sorted(steps)
+
+
+def whole_docs(stored):
+    links = L.distinct_links(C.normalize(stored["certificates"]))
+    return L.extract_fields(L.clean_metadata(L.acquire(links, stored["landed_documents"])))
+
+
+def test_only_keys_ignores_missing_parts(spark):
+    rows = spark.createDataFrame([("a", "1"), ("a", None), (None, "1"), ("b", "1")], "x string, y string")
+    wanted = spark.createDataFrame([("a", "1"), ("a", None), (None, "1"), ("a", "1")], "x string, y string")
+    assert [tuple(r) for r in only_keys(rows, wanted, ["x", "y"]).collect()] == [("a", "1")]
 
 
 def test_no_broadcast_without_a_bound(spark, stored):

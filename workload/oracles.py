@@ -2,11 +2,28 @@
 
 from __future__ import annotations
 
-from folioaudit.functions import rules as R
-
 from . import fixtures as X
 from .queries import ALWAYS, CUTOFF, OPTIONS
 
+# Fixed values, written out here so that a wrong pattern in the engine shows.
+_SPACE = r"[\s\x0b\x1c-\x1f]"
+_ISSUER_LINE = r"\nA\.?F\.?P\.? +(\w+)"
+_ISSUER_SITE = r"afphabitat\.cl"
+_SITE = "https://www.afphabitat.cl"
+_SITE_ISSUER = "habitat"
+_RUT_PATTERN = r"\d{1,2}(?:\.\d{3}){2}-[\dkK]"
+_CERTIFICATE = r"certificado(?:\s+\w+){0,2}\s+cotizaciones"
+# Issuer: code pattern, producer pattern, site.
+_RULES = {
+    "modelo": (r"Folio.*:\s+([a-z\d]+)", "Powered By Crystal", ""),
+    "habitat": (r"([a-z\d]{8}-(?:[a-z\d]{4}-){3}[a-z\d]{12})", "iText1.3.1", _SITE),
+    "cuprum": (r"FOLIO\s+N.?\s+CU(\d+)", "null", ""),
+    "capital": (r"certificacion:\s+([a-z|\d|-]+)", "PDFsharp", ""),
+    "provida": (r"certificado:\s+([\d|\.]+)", "iText", ""),
+    "planvital": (r"Folio\s+([\d-]+)", "Telerik Reporting", ""),
+    "uno": (r"Certificacion\s+N.?:\s+([a-z|\d]+)", "Powered By Crystal", ""),
+}
+
 _STAMP = "strftime({0}, '%Y-%m-%d %H:%M:%S')"
 
 
@@ -14,37 +31,41 @@ def _literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def _re2(pattern: str) -> str:
+    return pattern.replace(r"\s", _SPACE)
+
+
 def _fold(text: str) -> str:
     """Accents off, then ASCII only. The derived texts hold one more case: º."""
     return f"regexp_replace(strip_accents(replace({text}, 'º', 'o')), '[^\\x00-\\x7F]', '', 'g')"
 
 
 def _extract(text: str, pattern: str, group: int = 1) -> str:
-    return f"coalesce(regexp_extract({text}, {_literal(R.re2_pattern(pattern))}, {group}, 'i'), '')"
+    return f"coalesce(regexp_extract({text}, {_literal(_re2(pattern))}, {group}, 'i'), '')"
 
 
 def _afp(text: str) -> str:
-    named = f"lower({_extract(text, R.ISSUER_LINE)})"
-    site = f"regexp_matches({text}, {_literal(R.ISSUER_SITE)}, 'i')"
-    return f"CASE WHEN {named} <> '' THEN {named} WHEN {site} THEN '{R.SITE_ISSUER}' ELSE '' END"
+    named = f"lower({_extract(text, _ISSUER_LINE)})"
+    site = f"regexp_matches({text}, {_literal(_ISSUER_SITE)}, 'i')"
+    return f"CASE WHEN {named} <> '' THEN {named} WHEN {site} THEN '{_SITE_ISSUER}' ELSE '' END"
 
 
 def _rut(text: str) -> str:
-    return f"coalesce(regexp_extract({text}, {_literal(R.RUT)}, 0), '')"
+    return f"coalesce(regexp_extract({text}, {_literal(_RUT_PATTERN)}, 0), '')"
 
 
 def _cert(text: str) -> str:
-    return f"coalesce(regexp_matches({text}, {_literal(R.re2_pattern(R.CERTIFICATE))}, 'i'), false)"
+    return f"coalesce(regexp_matches({text}, {_literal(_re2(_CERTIFICATE))}, 'i'), false)"
 
 
 def _codver(afp: str, text: str) -> str:
-    branches = " ".join(f"WHEN '{r.afp}' THEN {_extract(text, r.codver)}" for r in R.RULES)
+    branches = " ".join(f"WHEN '{afp_}' THEN {_extract(text, rule[0])}" for afp_, rule in _RULES.items())
     return f"CASE {afp} {branches} ELSE '' END"
 
 
 def _producer(afp: str, producer: str) -> str:
     branches = " ".join(
-        f"WHEN '{r.afp}' THEN regexp_matches({producer}, {_literal(r.producer)}, 'i')" for r in R.RULES
+        f"WHEN '{afp_}' THEN regexp_matches({producer}, {_literal(rule[1])}, 'i')" for afp_, rule in _RULES.items()
     )
     return f"CASE {afp} {branches} END"
 
@@ -165,7 +186,7 @@ answers AS (
 judged AS (
   SELECT *,
     CASE WHEN afp = 'habitat' AND {_HABITAT_OK}
-         THEN '{R.SITE}' || ({_text_at('$.mensaje', '$')}) END AS url,
+         THEN '{_SITE}' || ({_text_at('$.mensaje', '$')}) END AS url,
     CASE WHEN afp = 'uno' AND {_UNO_OK} THEN {_UNO_PAYLOAD}
          WHEN afp = 'planvital' AND {_PLANVITAL_OK} THEN {_PLANVITAL_PAYLOAD} END AS payload
   FROM answers WHERE http_status = 200
@@ -268,6 +289,14 @@ def _responses(name: str, expression: str) -> str:
     )
 
 
+def _decoded(name: str, payload: str) -> str:
+    return (
+        f"{_with('orders')}, r AS (SELECT *, TRY_CAST(body AS JSON) AS j FROM issuer_responses WHERE afp = '{name}'),"
+        f" p AS (SELECT *, {payload} AS payload FROM r)"
+        f" SELECT request_key, http_status, {_DECODED} AS decoded FROM p"
+    )
+
+
 def _line_diff(base: str) -> str:
     texts = f"texts AS (SELECT k, {_fold('copy')} AS v, {_fold('paper')} AS o FROM copies)"
     return (
@@ -312,7 +341,7 @@ _FILES = """SELECT {0} max_by(path, (modificationTime, path)) AS path,
   FROM landed_files
   WHERE NOT suffix(path, '.crdownload') AND path NOT IN (SELECT path FROM seen_files) {1}"""
 _RULE_VALUES = ", ".join(
-    f"({_literal(r.afp)}, {_literal(r.codver)}, {_literal(r.producer)}, {_literal(r.domain)})" for r in R.RULES
+    f"({', '.join(map(_literal, (afp_, *rule)))})" for afp_, rule in _RULES.items()
 )
 
 ORACLES: dict[str, str] = {
@@ -326,6 +355,11 @@ ORACLES: dict[str, str] = {
     "s5_newest_landed_file": f"{_with('orders')} {_FILES.format('', '')}",
     "s5_newest_landed_file_per_site": f"{_with('orders')} {_FILES.format('site,', 'GROUP BY site')}",
     "p1_source_normalization": _source(f"{_SOURCE_COLUMNS} FROM source"),
+    # Ids as text, periods as six digits, times as text; some don't convert.
+    "p1_source_normalization_of_text": f"""{_with('orders', _SOURCE)}
+      SELECT CASE WHEN doc_idn % 7 = 0 THEN NULL ELSE doc_idn END AS doc_idn, link,
+        CAST(date_trunc('month', periodo) AS DATE)::VARCHAR AS periodo_produccion,
+        CASE WHEN doc_idn % 5 = 0 THEN NULL ELSE {_STAMP.format('ingreso')} END AS fecha_ingreso FROM source""",
     "p2_lookback_window": _source(f"{_SOURCE_COLUMNS} FROM source WHERE {_RECENT}"),
     "p3_required_fields_gate": _documents("link, gated, request_key FROM asked_for"),
     "p4_base_result": _source(
@@ -405,11 +439,8 @@ ORACLES: dict[str, str] = {
     "r5_planvital_verdict": _responses("planvital", f"{_PLANVITAL_OK} AS accepted"),
     "r6_uno_payload": _responses("uno", f"{_UNO_PAYLOAD} AS payload"),
     "r6_planvital_payload": _responses("planvital", f"{_PLANVITAL_PAYLOAD} AS payload"),
-    "r7_base64_decode": (
-        f"{_with('orders')}, r AS (SELECT *, TRY_CAST(body AS JSON) AS j FROM issuer_responses WHERE afp = 'planvital'),"
-        f" p AS (SELECT *, {_PLANVITAL_PAYLOAD} AS payload FROM r)"
-        f" SELECT request_key, http_status, {_DECODED} AS decoded FROM p"
-    ),
+    "r7_base64_decode": _decoded("planvital", _PLANVITAL_PAYLOAD),
+    "r7_base64_decode_uno": _decoded("uno", _UNO_PAYLOAD),
     "r8_audit_status": _audit(
         "orders",
         "doc_idn IS NOT NULL",
@@ -418,6 +449,9 @@ ORACLES: dict[str, str] = {
     "certificate_audit": _audit(
         "orders", f"ingreso >= DATE '{ALWAYS}' AND {_NOT_DONE}", f"ORDER BY doc_idn NULLS FIRST LIMIT {OPTIONS.row_limit}"
     ),
+    "certificate_run_batch": _audit(
+        "orders", f"ingreso >= DATE '{ALWAYS}' AND {_NOT_DONE}", f"ORDER BY doc_idn NULLS FIRST LIMIT {OPTIONS.row_limit}"
+    ),
     "certificate_audit_recent": _audit("orders", f"{_RECENT} AND {_NOT_DONE}"),
     "certificate_audit_everything": _audit("orders", "doc_idn IS NOT NULL"),
     "document_audit_everything": _audit("documents", "doc_idn IS NOT NULL"),

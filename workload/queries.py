@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +20,11 @@ from folioaudit.operators import candidates as C
 from folioaudit.operators import landing as L
 from folioaudit.operators import verification as V
 from folioaudit.operators.diagnostics import diagnostics
+from folioaudit.operators.joins import lookup
 from folioaudit.operators.status import result_rows
-from folioaudit.plans.audit import audit
+from folioaudit.plans.audit import audit, run
+from folioaudit.schema import RESULT_SCHEMA
+from folioaudit.session import stored
 from folioaudit.sources import tables as S
 
 from . import fixtures as X
@@ -166,7 +171,7 @@ def _inequality(d: Data) -> DataFrame:
 def _acquired(d: Data) -> DataFrame:
     """Each candidate with its document, or the status of one not obtained."""
     found = d.obtained.withColumnRenamed("link", "found")
-    joined = d.source.join(found, F.col("link") == F.col("found"), "left")
+    joined = lookup(d.source, found, F.col("link"), F.col("found"), F.col("doc_idn"))
     return joined.select(
         "doc_idn",
         "link",
@@ -190,7 +195,7 @@ def _base_result(d: Data) -> DataFrame:
 
 
 def _verified(d: Data) -> DataFrame:
-    docs = V.with_request(d.extracted)
+    docs = stored(V.with_request(d.extracted))
     found = V.verify(docs, d.issuer_responses, d.landed_documents)
     return found.filter("gated").select("link", "afp", "request_key", "copy_text")
 
@@ -202,7 +207,7 @@ def _followed(d: Data) -> DataFrame:
 def _audit(row_limit: int, since: dt.date = CUTOFF) -> Callable[[Data], DataFrame]:
     def build(d: Data) -> DataFrame:
         batch = C.candidates(d.certificates, d.ids, since, row_limit)
-        return audit(batch, d.landed_documents, d.issuer_responses, X.PROCESSED_AT, max(row_limit, 0))
+        return audit(batch, d.landed_documents, d.issuer_responses, X.PROCESSED_AT)
 
     return build
 
@@ -220,6 +225,63 @@ def _newest_files(*by: str) -> Callable[[Data], DataFrame]:
     return lambda d: S.newest_files(d.landed_files, d.seen_files, *by)
 
 
+def _named(d: Data, *names: str) -> dict[str, str]:
+    """Derived tables under names that the session's catalog knows."""
+    found = {name: f"derived_{d.base}_{name}" for name in names}
+    for name, view in found.items():
+        getattr(d, name).createOrReplaceTempView(view)
+    return found
+
+
+def _scanned(d: Data) -> DataFrame:
+    source = S.scan(d.spark, _named(d, "certificates")["certificates"])
+    S.validate_source(source)
+    return source
+
+
+def _processed(d: Data) -> DataFrame:
+    return S.processed_ids(d.spark, _named(d, "processed")["processed"])
+
+
+def _from_text(d: Data) -> DataFrame:
+    """Normalization of text columns, with values that do not convert."""
+    k = F.col("DOC_IDN")
+    text = d.certificates.select(
+        F.when(k % 7 == 0, F.concat(F.lit("id "), k)).otherwise(k.cast("string")).alias("DOC_IDN"),
+        "LINK",
+        F.date_format("PERIODO_PRODUCCION", "yyyyMM").alias("PERIODO_PRODUCCION"),
+        F.when(k % 5 == 0, "sin fecha").otherwise(F.col("FECHA_INGRESO").cast("string")).alias("FECHA_INGRESO"),
+    )
+    return C.normalize(text)
+
+
+def _run_batch(d: Data) -> DataFrame:
+    """The job itself: one batch audited, appended to a target and read back.
+
+    The target starts with the processed ids, as an earlier run leaves it. Its
+    new rows are stored and the target is dropped.
+    """
+    names = _named(d, "certificates", "landed_documents", "issuer_responses")
+    target = f"run_target_{uuid.uuid4().hex}"
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in RESULT_SCHEMA if f.name not in ("DOC_IDN", "FECHA_PROCESO")]
+    done = d.ids.select(F.col("doc_idn").alias("DOC_IDN"), *blank, F.lit(dt.datetime(1999, 1, 1)).alias("FECHA_PROCESO"))
+    S.conform(done).write.saveAsTable(target)
+    options = dataclasses.replace(
+        OPTIONS,
+        source_table=names["certificates"],
+        landed_table=names["landed_documents"],
+        responses_table=names["issuer_responses"],
+        target_table=target,
+        lookback_days=(X.AS_OF - ALWAYS).days,
+    )
+    try:
+        run(d.spark, options)
+        new = d.spark.table(target).filter(F.col("FECHA_PROCESO") == F.lit(X.PROCESSED_AT.isoformat(" ")).cast("timestamp"))
+        return stored(new)
+    finally:
+        d.spark.sql(f"DROP TABLE IF EXISTS {target}")
+
+
 def _counts(d: Data) -> DataFrame:
     return diagnostics(d.source, d.ids, CUTOFF).select(
         "total_source", "recent_source", "already_processed", "pending_after_dedup"
@@ -228,13 +290,14 @@ def _counts(d: Data) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     # Scans, sources
-    "s1_table_scan": _query(lambda d: d.certificates),
-    "s3_processed_ids": _query(lambda d: d.ids),
+    "s1_table_scan": _query(_scanned),
+    "s3_processed_ids": _query(_processed),
     "s4_document_acquisition": _query(_acquired),
     "s5_newest_landed_file": _query(_newest_files()),
     "s5_newest_landed_file_per_site": _query(_newest_files("site")),
     # Projections, filters
     "p1_source_normalization": _query(lambda d: d.source),
+    "p1_source_normalization_of_text": _query(_from_text),
     "p2_lookback_window": _query(lambda d: d.recent),
     "p3_required_fields_gate": _query(lambda d: V.with_request(d.extracted).select("link", "gated", "request_key")),
     "p4_base_result": _query(_base_result),
@@ -304,10 +367,14 @@ QUERIES: dict[str, Query] = {
             lambda: payload.decoded_text(payload.planvital_payload(F.col("json"), F.col("body"))).alias("decoded"),
         )
     ),
+    "r7_base64_decode_uno": _query(
+        _responses("uno", lambda: payload.decoded_text(payload.uno_payload(F.col("json"), F.col("body"))).alias("decoded"))
+    ),
     "r8_audit_status": _query(
         lambda d: _audit_everything(d).groupBy("RES_AFP", "ES_DIF", "ES_CERT_COT").agg(F.count(F.lit(1)).alias("documents"))
     ),
     # The whole audit
+    "certificate_run_batch": _query(_run_batch),
     "certificate_audit": _query(_audit(OPTIONS.row_limit, ALWAYS)),
     "certificate_audit_recent": _query(_audit(0)),
     "certificate_audit_everything": _query(_audit_everything),
