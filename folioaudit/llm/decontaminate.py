@@ -237,7 +237,7 @@ def found_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id, contaminated, n_items, item_ids, coverage`` for every row of ``docs``.
+    """``doc_id, contaminated, kept, n_items, item_ids, coverage`` for every row of ``docs``.
 
     NULL and empty texts hold nothing. Rows that repeat a ``doc_id`` are one
     document and get one verdict; rows without an id are told apart by text.
@@ -250,6 +250,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return rows.join(found, "key", "left").select(
         "doc_id",
         F.col("item_ids").isNotNull().alias("contaminated"),
+        F.col("item_ids").isNull().alias("kept"),
         F.when(F.col("item_ids").isNull(), 0).otherwise(F.size("item_ids")).alias("n_items"),
         "item_ids",
         "coverage",

@@ -113,7 +113,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, virtual: int = VIRTUAL_NODES, s
     """``doc_id, size, text_crc32, law, shard, slot`` for every row of ``docs``.
 
     ``slack`` is the part by which a shard may exceed the mean; 0 gives counts
-    at most one apart. A NULL text has size 1 and a NULL checksum. Rows with a
+    at most one apart. A NULL text counts as no bytes: size 1, checksum 0. Rows with a
     NULL ``doc_id`` and rows that repeat one are keys like any other: equal rows
     are counted before they are dealt out and numbered from that count, so no
     task gathers them. An empty table gives no rows.
@@ -121,7 +121,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, virtual: int = VIRTUAL_NODES, s
     read = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
-        F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
+        F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
     )
     keys = read.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("rows"))
     nodes = ring(docs.sparkSession, shards, virtual)

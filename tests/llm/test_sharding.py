@@ -48,7 +48,7 @@ def test_equals_one_by_one(spark):
 def test_values_and_edges(spark):
     rows = [(1, None), (2, ""), (3, "é"), (3, "é"), (None, "x"), (None, None), (4, "x" * 100_000)] + [(9, "same")] * 200
     got = run(spark, rows).collect()
-    want = Counter((i, len((t or "").encode()) + 1, None if t is None else zlib.crc32(t.encode())) for i, t in rows)
+    want = Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or '').encode())) for i, t in rows)
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == want
     counts = Counter(r["shard"] for r in got)
     assert max(counts.values()) - min(counts[s] for s in range(16)) <= 1
