@@ -7,6 +7,7 @@ untimed pass of each warms the JVM.
 
 from __future__ import annotations
 
+import dataclasses
 import json
 import os
 import sys
@@ -26,7 +27,10 @@ from folioaudit.operators import landing as L
 from folioaudit.operators import verification as V
 from folioaudit.operators.diagnostics import diagnostics
 from folioaudit.plans.audit import audit
+from folioaudit.plans.audit import run as run_job
+from folioaudit.schema import RESULT_SCHEMA
 from folioaudit.session import build_session
+from folioaudit.sources import tables as S
 from workload import fixtures as X
 from workload.queries import ALWAYS, CUTOFF, OPTIONS, Data
 
@@ -62,6 +66,7 @@ def workloads(tables: dict[str, DataFrame], prefix: str) -> dict:
     return {
         f"{prefix}_audit_everything": lambda: whole(0, None),
         f"{prefix}_audit_batch": lambda: whole(OPTIONS.row_limit, ids),
+        f"{prefix}_run_batch": lambda: job(t, prefix),
         f"{prefix}_candidates": lambda: C.candidates(t["certificates"], ids, CUTOFF, OPTIONS.row_limit),
         f"{prefix}_extraction": extracted,
         f"{prefix}_issuer_copies": lambda: V.issuer_copies(t["issuer_responses"], t["landed_documents"]),
@@ -70,6 +75,28 @@ def workloads(tables: dict[str, DataFrame], prefix: str) -> dict:
     }
 
 
+def job(tables: dict[str, DataFrame], prefix: str) -> DataFrame:
+    """The whole job on stored tables: the next batch, appended to its target."""
+    spark = tables["certificates"].sparkSession
+    names = {name: f"{prefix}_{name}" for name in ("certificates", "landed_documents", "issuer_responses")}
+    for name, view in names.items():
+        tables[name].createOrReplaceTempView(view)
+    target = f"{prefix}_target"
+    if not spark.catalog.tableExists(target):
+        others = [F.lit(None).cast(f.dataType).alias(f.name) for f in RESULT_SCHEMA if f.name not in ("DOC_IDN", "FECHA_PROCESO")]
+        done = tables["processed"].select("DOC_IDN", *others, F.lit(X.PROCESSED_AT).alias("FECHA_PROCESO"))
+        S.conform(done).write.saveAsTable(target)
+    options = dataclasses.replace(
+        OPTIONS,
+        source_table=names["certificates"],
+        landed_table=names["landed_documents"],
+        responses_table=names["issuer_responses"],
+        target_table=target,
+        lookback_days=(X.AS_OF - ALWAYS).days,
+    )
+    return spark.range(run_job(spark, options))
+
+
 def run(build) -> float:
     start = time.perf_counter()
     build().write.format("noop").mode("overwrite").save()
@@ -79,19 +106,21 @@ def run(build) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = build_session(
-        "bench",
-        f"local[{cpus}]",
-        **{
-            "spark.sql.shuffle.partitions": cpus,
-            "spark.driver.memory": "16g",
-            "spark.ui.enabled": "false",
-            "spark.ui.showConsoleProgress": "false",
-        },
-    )
-    spark.sparkContext.setLogLevel("ERROR")
     seconds: dict[str, float] = {}
     with tempfile.TemporaryDirectory(prefix="audit-bench-") as folder:
+        spark = build_session(
+            "bench",
+            f"local[{cpus}]",
+            **{
+                "spark.sql.shuffle.partitions": cpus,
+                "spark.sql.warehouse.dir": f"{folder}/warehouse",
+                "spark.checkpoint.dir": f"{folder}/checkpoint",
+                "spark.driver.memory": "16g",
+                "spark.ui.enabled": "false",
+                "spark.ui.showConsoleProgress": "false",
+            },
+        )
+        spark.sparkContext.setLogLevel("ERROR")
         counts = {}
         for base in ("orders", "documents"):
             tables = land(spark, sf_dir, base, folder)
