@@ -293,7 +293,7 @@ def train(docs: DataFrame, vocabulary: str | None = None, per_language: int = SA
     """Learn from ``docs(doc_id, text, lang)``; rows without a lang or text don't count.
 
     The sample holds at most ``per_language`` documents of each of at most
-    ``LANGUAGES`` languages, chosen by a hash of doc_id and length. What comes
+    ``LANGUAGES`` languages, chosen by a hash of doc_id. What comes
     to the driver is piece counts, bounded by vocabulary times languages.
     """
     spark = docs.sparkSession
@@ -301,11 +301,16 @@ def train(docs: DataFrame, vocabulary: str | None = None, per_language: int = SA
     vocabulary = default_vocabulary() if vocabulary is None else vocabulary
     pieces = _pieces(vocabulary)
     labelled = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    languages = tuple(sorted(r["lang"] for r in sizes))
+    # A hash thins each language out to a few times its sample, whatever its
+    # size, before its rows are ordered in one task.
+    share = {r["lang"]: min(1.0, 4 * per_language / r["count"]) for r in sizes}
+    shares = F.create_map(*[F.lit(x) for item in share.items() for x in item]) if share else F.lit(None).cast("map<string,double>")
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) <= F.try_element_at(shares, F.col("lang")) * (1 << 32)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.select("doc_id", "lang").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language)
-    chosen = checkpointed(chosen.select("doc_id", "lang"))
-    listed = chosen.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    languages = tuple(sorted(r["lang"] for r in listed))
+    chosen = labelled.filter(drawn).select("doc_id", "lang").withColumn("_n", F.row_number().over(order))
+    chosen = checkpointed(chosen.filter(F.col("_n") <= per_language).select("doc_id", "lang"))
     sample = rows_of(labelled, chosen.select("doc_id").distinct()).filter(F.col("lang").isin(*languages))
     tally = checkpointed(
         sample.select("lang", "text").mapInArrow(_tally, "lang string, part binary, n long").groupBy("lang", "part").agg(F.sum("n").alias("n"))
