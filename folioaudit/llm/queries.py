@@ -85,11 +85,11 @@ WITH RECURSIVE w AS (
   FROM w
 ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 shared AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS hits
   FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2
 ), links AS (
   SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
-  WHERE 100 * both >= 75 * (x.n + y.n - both)
+  WHERE 100 * hits >= 75 * (x.n + y.n - hits)
 ), reach AS (
   SELECT a AS doc_id, b AS other FROM links
   UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
@@ -99,5 +99,41 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles,
   w.doc_id = least(w.doc_id, coalesce(min(r.other), w.doc_id)) AS kept
 FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN reach r ON r.doc_id = w.doc_id
 GROUP BY w.doc_id, n.n
+""",
+    # Windows by position, lines one by one; the rules' patterns written out.
+    "op10_line_first_rules": r"""
+WITH t AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents
+), w AS (
+  SELECT row, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws,
+    list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls
+  FROM t
+), grams AS (
+  SELECT row, k, array_to_string(ws[k:k + 7], ' ') AS g
+  FROM (SELECT row, ws, unnest(range(1, len(ws) - 6)) AS k FROM w WHERE len(ws) >= 8)
+), twice AS (
+  SELECT row, k FROM (SELECT row, k, count(*) OVER (PARTITION BY row, g) AS n FROM grams) WHERE n > 1
+), repeated AS (
+  SELECT row, count(DISTINCT k + j) AS n FROM (SELECT row, k, unnest(range(0, 8)) AS j FROM twice) GROUP BY row
+), lines AS (SELECT row, unnest(ls) AS l FROM w),
+failing AS (
+  SELECT row, l FROM lines
+  WHERE NOT regexp_matches(l, '[.!?:;…。！？]["''”’»)\]]*[ \t-\r]*$')
+    OR regexp_matches(l, '[|»›·•][^|»›·•]+[|»›·•]')
+    OR regexp_matches(l, '!!(?:.*?[^!]!!){2}')
+    OR regexp_matches(l, '(?i)^[ \t-\r]*(?:home|menu|search|login|log in|sign in|sign up|register|next|previous|back to top|read more|share|contact(?: us)?|about(?: us)?|sitemap|skip to content)[ \t-\r]*[.!:>»]*[ \t-\r]*$')
+    OR 10 * len(regexp_extract_all(l, '[#*$%&|<>]')) > length(l)
+    OR regexp_matches(l, '(?i)all rights reserved|licensed under the|released under the|copyright (?:\(c\)|©|\d{4})|©|cookie policy|privacy policy|terms of (?:use|service)|subscribe to our|accept (?:all )?cookies|powered by')
+), lost AS (
+  SELECT row, sum(len(regexp_extract_all(l, '[^\x20\x09-\x0D]+'))) AS n FROM failing GROUP BY row
+), counted AS (
+  SELECT w.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+    coalesce(repeated.n, 0) AS n_repeat_words, CAST(coalesce(lost.n, 0) AS BIGINT) AS lost_words
+  FROM w LEFT JOIN repeated ON repeated.row = w.row LEFT JOIN lost ON lost.row = w.row
+), based AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted
+)
+SELECT *, NOT base_failed AND 100 * lost_words <= 50 * n_words AS kept FROM based
 """,
 }
