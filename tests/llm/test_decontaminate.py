@@ -12,15 +12,17 @@ def brute(docs, items):
     out = {}
     for doc, text in docs:
         words, hashes, slots, _ = D.templates([text], known)
-        hits = {}
+        hits, places = {}, {}
+        for width in {w["width"] for own in windows.values() for w in own}:
+            for at, h in enumerate(D.window_hashes(hashes, width).view("int64").tolist()):
+                places.setdefault((width, h), []).append(at)
         for i, own in windows.items():
             for w in own:
                 width = w["width"]
-                for at, h in enumerate(D.window_hashes(hashes, width)):
-                    if int(h.view("int64")) == w["window"]:
-                        values = [D.bare(words[at + k]) for k in range(width) if slots[at + k]]
-                        if len(values) == len(w["slots"]):
-                            hits.setdefault((i, at - w["place"]), []).append((w["place"], tuple(zip(w["slots"], values))))
+                for at in places.get((width, w["window"]), []):
+                    values = [D.bare(words[at + k]) for k in range(width) if slots[at + k]]
+                    if len(values) == len(w["slots"]):
+                        hits.setdefault((i, at - w["place"]), []).append((w["place"], tuple(zip(w["slots"], values))))
         found = {}
         for (i, _), lined in hits.items():
             pairs = {p for _, ps in lined for p in ps}
