@@ -12,6 +12,8 @@ class AuditOptions:
     target_table: str = "audit_results"
     landed_table: str = "landed_documents"
     responses_table: str = "issuer_responses"
+    # The landed table was written by ``save_bucketed`` and has no hot address.
+    bucketed: bool = False
     # Folders with landed text files, read beside the tables. Documents are
     # named by their path; copies by their code, and the newest file counts.
     landed_folder: str | None = None

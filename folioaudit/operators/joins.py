@@ -30,16 +30,19 @@ def _all_set(keys: Sequence[str]) -> Column:
     return condition
 
 
-def only_keys(df: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+def only_keys(df: DataFrame, batch: DataFrame, keys: Sequence[str], bucketed: bool = False) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``batch``, whatever the size of either.
 
     Spark picks the join by the sizes it measures. Both sides are dealt out on
-    an image of the key, so that a key with very many rows can be split.
+    an image of the key, so that a key with very many rows can be split. Where
+    ``df`` is stored in buckets of the key, the key itself joins them in place.
     """
+    wanted = batch.filter(_all_set(keys)).select(*keys).distinct()
+    if bucketed:
+        return df.join(wanted, list(keys), "left_semi")
     image = "_wanted_key"
     key = F.to_json(F.struct(*keys))
-    wanted = batch.filter(_all_set(keys)).select(*keys).distinct().select(key.alias(image))
-    return df.withColumn(image, F.when(_all_set(keys), key)).join(wanted, image, "left_semi").drop(image)
+    return df.withColumn(image, F.when(_all_set(keys), key)).join(wanted.select(key.alias(image)), image, "left_semi").drop(image)
 
 
 def lookup(left: DataFrame, right: DataFrame, left_key: Column, right_key: Column, spread: Column) -> DataFrame:

@@ -23,12 +23,13 @@ def newest_landed(landed: DataFrame, columns: Sequence[str] = LANDED_COLUMNS) ->
     return newest_by_key(landed, LANDED_KEY, columns, LANDED_AT)
 
 
-def acquire(links: DataFrame, landed: DataFrame) -> DataFrame:
+def acquire(links: DataFrame, landed: DataFrame, bucketed: bool = False) -> DataFrame:
     """Landed content per address, with ``obtained``; content is NULL without it.
 
     Rows of other addresses are dropped before versions are compared.
+    ``bucketed``: the landed rows are stored in buckets of their address.
     """
-    found = newest_landed(only_keys(landed, links, LANDED_KEY))
+    found = newest_landed(only_keys(landed, links, LANDED_KEY, bucketed))
     joined = links.join(found, "link", "left")
     obtained = http_ok(F.col("http_status"))
     content = [F.when(obtained, F.col(c)).alias(c) for c in LANDED_COLUMNS if c != "http_status"]

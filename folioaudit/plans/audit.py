@@ -28,6 +28,7 @@ def audit(
     responses: DataFrame,
     processed_at: dt.datetime | None = None,
     store: Callable[[DataFrame], DataFrame] | None = None,
+    bucketed: bool = False,
 ) -> DataFrame:
     """One result row per candidate row.
 
@@ -35,10 +36,10 @@ def audit(
     depend on nothing else. The plan is the same for every number of
     candidates. ``store`` keeps the extracted documents, which are used twice:
     to choose the responses they ask for, and to be compared with them. Unless
-    it is given they are checkpointed.
+    it is given they are checkpointed. ``bucketed``: see ``acquire``.
     """
     store = stored if store is None else store
-    docs = acquire(distinct_links(candidates), landed)
+    docs = acquire(distinct_links(candidates), landed, bucketed)
     docs = store(with_request(extract_fields(clean_metadata(docs))))
     checked = outcomes(compare(verify(docs, responses, landed)))
     checked = checked.withColumnRenamed("link", "_link")
@@ -86,7 +87,7 @@ def run(spark: SparkSession, options: AuditOptions) -> int:
         )
         if ids is not None:
             batch = held.store(C.pending(batch, ids))
-        results = audit(batch, landed_documents(spark, options), issuer_responses(spark, options), options.processed_at, held.store)
+        results = audit(batch, landed_documents(spark, options), issuer_responses(spark, options), options.processed_at, held.store, options.bucketed)
         counts = S.append_results(results, options.target_table, options.table_format)
     LOGGER.info("appended to %s: %s", options.target_table, counts)
     return counts["rows"]

@@ -209,7 +209,7 @@ def test_bucketed_tables_give_the_same(spark, options):
         spark.sql(f"DROP TABLE IF EXISTS audit_test.{name}")
         S.save_bucketed(spark.table(table), f"audit_test.{name}", key, 4)
     spark.sql("DROP TABLE IF EXISTS audit_test.from_buckets")
-    bucketed = dataclasses.replace(options, target_table="audit_test.from_buckets",
+    bucketed = dataclasses.replace(options, target_table="audit_test.from_buckets", bucketed=True,
                                    landed_table="audit_test.landed_b", responses_table="audit_test.responses_b")
     assert run(spark, bucketed) == len(CASES) + 3
     check_outcomes(spark.table(bucketed.target_table).collect())
