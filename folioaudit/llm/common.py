@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +21,20 @@ SPACE_PATTERN = "[ \\t-\\r]+"
 BROADCAST_ROWS = 200_000
 
 _shipped: set[str] = set()
+_kept: dict[object, object] = {}
+
+
+def kept(name: object, make: Callable[[], object], full: Callable[[object], bool]) -> object:
+    """A Python worker's table of words, kept from task to task until it is full.
+
+    Workers outlive a stage: only one table is held, so that the operators of
+    a pipeline don't add theirs up.
+    """
+    if name not in _kept or full(_kept[name]):
+        _kept.clear()
+        gc.collect()
+        _kept[name] = make()
+    return _kept[name]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -20,11 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpointed, row_key, rows_of, ship
+from .common import kept as kept_table
 
 WINDOW = 8  # template words of a window
 LITERALS = 4  # words of a window that must not be placeholders
 COVERAGE = 0.5  # part of an item's windows that must be found
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 GROUP_WORDS = 300_000
 FILTER_BITS = 20  # the scan's filter is a table of 2 ** 20 marks, whatever the benchmark
 
@@ -144,13 +145,8 @@ def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(rows, schema)
 
 
-_cache: list[Words] = []
-
-
 def _words() -> Words:
-    if not _cache or len(_cache[0]) > CACHE_WORDS:
-        _cache[:] = [Words()]
-    return _cache[0]
+    return kept_table("templates", Words, lambda words: len(words) > CACHE_WORDS)
 
 
 def _groups(texts: list[str | None]) -> Iterator[tuple[int, int]]:

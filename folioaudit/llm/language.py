@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, rows_of, ship
+from .common import checkpointed, kept, rows_of, ship
 
 UNKNOWN = "und"
 PIECE_BYTES = 8  # longer pieces of the vocabulary are left out
@@ -31,7 +31,7 @@ ROUNDS = 3
 SAMPLE_DOCS = 300
 # Bound of the model: the languages with most labelled documents are learned.
 LANGUAGES = 200
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 GROUP_WORDS = 300_000
 PRIOR = 0.01  # expected count added to each piece
 LEAST = 0.5  # a document below this score is rejected
@@ -183,15 +183,8 @@ class _Words(dict):
         self.new = []
 
 
-_cache: dict[str, _Words] = {}
-
-
 def _words_for(model: Model) -> _Words:
-    known = _cache.get(model.key)
-    if known is None or len(known) > CACHE_WORDS:
-        _cache.clear()
-        known = _cache[model.key] = _Words(model)
-    return known
+    return kept(model.key, lambda: _Words(model), lambda words: len(words) > CACHE_WORDS)
 
 
 def score_texts(texts: list[str | None], known: _Words) -> tuple[list[str], list[float]]:

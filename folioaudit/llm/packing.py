@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, ship, texts
+from .common import checkpointed, kept, ship, texts
 
 CAPACITY = 2048
 PARTITION_PIECES = 50_000  # what one task packs
@@ -34,18 +34,12 @@ def default_tokenizer() -> str:
         return file.read()
 
 
-_encoders: dict[int, object] = {}
-
-
 def _tokenizer(tokenizer) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches):
         from .tokens import WordIds
 
         text = tokenizer.value
-        if hash(text) not in _encoders:
-            _encoders.clear()
-            _encoders[hash(text)] = WordIds(text)
-        encoder = _encoders[hash(text)]
+        encoder = kept(("tokens", hash(text)), lambda: WordIds(text), lambda _: False)  # it empties itself
         for batch in batches:
             ids = batch.column(0).to_pylist()
             raw = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
