@@ -44,8 +44,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack what is left into token sequences: one row per piece."""
-    return packing.pack(docs)
+    """Pack what is left, without repeated passages, into token sequences: one row per piece."""
+    cut = linededup.without_passages(docs, "doc_id")
+    return packing.pack(cut.filter((F.col("n_removed") == 0) | F.col("text").rlike(HAS_WORD)))
 
 
 STAGES = [

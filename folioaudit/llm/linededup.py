@@ -13,7 +13,9 @@ the run is deleted where it occurs later. A line's first occurrence always stays
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpointed, ship, spread_join, texts
+from .passages import repeated_passages
 
 GRAM_WORDS = 20
 WINDOW = 4
+WORD = re.compile("[^ \\t-\\r]+")
 
 
 def lines_of(text: str | None) -> tuple[list[str], list[int], np.ndarray, np.ndarray]:
@@ -135,19 +139,50 @@ def cut(text: str | None, runs: list[tuple[int, int]]) -> tuple[str, int]:
     return "\n".join(line for k, line in enumerate(lines) if k not in gone), n
 
 
+def cut_words(text: str, runs: list[tuple[int, int]], spans: list[tuple[int, int]]) -> tuple[str, int]:
+    """The text without the lines of ``runs`` and the words of ``spans``, and how many lines lost words.
+
+    Lines that lose all their words go, and lines without words between deleted words.
+    """
+    lines, places, _, counts = lines_of(text)
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    gone = np.zeros(int(ends[-1]), bool)
+    for start, end in [(ends[a], ends[b]) for a, b in runs] + spans:
+        gone[start:end] = True
+    out, n, seen = [], 0, 0
+    with_words = set(places)
+    for k, line in enumerate(lines):
+        if k not in with_words:
+            if not (0 < seen < len(gone) and gone[seen - 1] and gone[seen]):
+                out.append(line)
+            continue
+        starts = [m.start() for m in WORD.finditer(line)]
+        own = gone[seen : seen + len(starts)]
+        seen += len(starts)
+        n += bool(own.any())
+        if own.any() and not own.all():
+            stops = [*starts[1:], len(line)]
+            kept = line[: starts[0]] + "".join(line[a:b] for a, b, x in zip(starts, stops, own) if not x)
+            out.append(kept.rstrip(" \t\v\f\r") if own[-1] else kept)
+        elif not own.any():
+            out.append(line)
+    return "\n".join(out), n
+
+
 def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        at = batch.schema.get_field_index("_cut_text")
-        runs_at = batch.schema.get_field_index("_runs")
+        at, runs_at, spans_at = (batch.schema.get_field_index(n) for n in ("_cut_text", "_runs", "_spans"))
         texts, removed = [], []
-        for text, runs in zip(batch.column(at).to_pylist(), batch.column(runs_at).to_pylist()):
-            if runs:
+        for text, runs, spans in zip(*(batch.column(n).to_pylist() for n in (at, runs_at, spans_at))):
+            if spans:
+                text, n = cut_words(text, [(r["start"], r["end"]) for r in runs or []], [(s["start"], s["end"]) for s in spans])
+            elif runs:
                 text, n = cut(text, _merged([(r["start"], r["end"]) for r in runs]))
             else:
                 n = 0
             texts.append(text)
             removed.append(n)
-        others = [n for n in batch.schema.names if n not in ("_cut_text", "_runs")]
+        others = [n for n in batch.schema.names if n not in ("_cut_text", "_runs", "_spans")]
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(n) for n in others), pa.array(texts, pa.string()), pa.array(removed, pa.int64())], [*others, "_text", "_removed"]
         )
@@ -203,7 +238,26 @@ def without_repeats(docs: DataFrame, *keep: str) -> DataFrame:
     document the earlier position stays. Rows that repeat a ``doc_id`` lose the
     same lines, those with another text none.
     """
-    runs = repeated_runs(docs).groupBy("doc", "digest").agg(F.collect_list(F.struct("start", "end")).alias("_runs"))
+    return _without(docs, keep, repeated_runs(docs), None)
+
+
+def without_passages(docs: DataFrame, *keep: str) -> DataFrame:
+    """As ``without_repeats``, for later copies of runs of more than 50 words only."""
+    return _without(docs, keep, None, repeated_passages(docs))
+
+
+def without_repeated_text(docs: DataFrame, *keep: str) -> DataFrame:
+    """As ``without_repeats``, and also without later copies of runs of more than 50 words.
+
+    A run of words that lies in deleted lines altogether is no first copy. ``n_removed`` counts the lines that
+    lost words, also those of which a part is left.
+    """
+    runs = checkpointed(repeated_runs(docs))
+    return _without(docs, keep, runs, repeated_passages(docs, runs))
+
+
+def _without(docs: DataFrame, keep: tuple[str, ...], runs: DataFrame | None, spans: DataFrame | None) -> DataFrame:
+    """``runs`` are places of lines, ``spans`` of words."""
     taken = docs.select(
         F.struct(*[F.col(f"`{n}`") for n in keep]).alias("_row"),
         F.col("doc_id").cast("long").alias("_doc_id"),
@@ -212,8 +266,11 @@ def without_repeats(docs: DataFrame, *keep: str) -> DataFrame:
     # The digest in the key spreads rows without an id, which match nothing.
     name = F.concat_ws("/", "_doc_id", F.xxhash64("_cut_text"))
     left = taken.withColumn("_key", F.when(F.col("_doc_id").isNotNull(), name).otherwise(F.concat(F.lit("!"), name)))
-    right = runs.select(F.concat_ws("/", "doc", "digest").alias("_key"), "_runs")
-    joined = left.join(right, "_key", "left").select("_row", "_cut_text", "_runs")
+    found = [df.select("doc", "digest", F.struct("start", "end").alias("at"), F.lit(n).alias("part")) for n, df in enumerate((runs, spans)) if df is not None]
+    gone = reduce(DataFrame.unionByName, found).groupBy("doc", "digest")
+    lists = [F.collect_list(F.when(F.col("part") == n, F.col("at"))).alias(name) for n, name in enumerate(("_runs", "_spans"))]
+    right = gone.agg(*lists).select(F.concat_ws("/", "doc", "digest").alias("_key"), "_runs", "_spans")
+    joined = left.join(right, "_key", "left").select("_row", "_cut_text", "_runs", "_spans")
     row = dict(taken.dtypes)["_row"]
     done = joined.mapInArrow(_cleaned, f"_row {row}, _text string, _removed long")
     return done.select(*[F.col("_row").getField(n).alias(n) for n in keep], F.col("_text").alias("text"), F.col("_removed").alias("n_removed"))

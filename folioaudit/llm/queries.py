@@ -36,7 +36,7 @@ def op5_segmentation_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_winnowed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.without_repeats(table(spark, sf_dir, "documents"), "doc_id")
+    return linededup.without_repeated_text(table(spark, sf_dir, "documents"), "doc_id")
 
 
 def op7_linked_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
