@@ -113,3 +113,17 @@ def test_chunks_agree():
     sure = [r for r in rows if r["sure"]]
     assert [(r["doc"], r["start"], r["end"]) for r in sure] == [(1, 2, 62)]
     assert {r["window"] for r in rows if r["doc"] == 1 and not r["sure"]}.isdisjoint(r["window"] for r in rows if r["doc"] == 0)
+
+
+def test_passages_in_short_lines(spark):
+    """Line grams alone miss many of these: only two or three of them lie in the run."""
+    rnd = random.Random(4)
+    some = lambda n: [str(rnd.random()) for _ in range(n)]
+    rows, want = [], []
+    for k in range(60):
+        shared = broken(some(rnd.randint(51, 76)), rnd, 12, 19)
+        for i in (2 * k, 2 * k + 1):
+            head, tail = (broken(some(60), rnd, 12, 19) for _ in range(2))
+            rows.append((i, f"{head}\n{shared}\n{tail}"))
+            want.append((i, f"{head}\n{tail}" if i % 2 else rows[-1][1]))
+    assert sorted((i, t) for i, t, _ in result(spark, rows, D.without_repeated_text)) == want
