@@ -3,12 +3,15 @@
 A gram starts at each line that has words and takes lines until it holds
 ``GRAM_WORDS`` words. Of every ``WINDOW`` neighbouring grams the least hash is
 a fingerprint, and so is every gram of a single line. Two guarantees follow:
-a line of ``GRAM_WORDS`` words or more that repeats is found, and so is every
-repeated run in which ``WINDOW`` grams start.
+a line of ``GRAM_WORDS`` words or more that repeats is found, and so is a part
+of every repeated run in which ``WINDOW`` grams start.
 
 Each fingerprint joins its first occurrence only (least doc_id, then position),
 never all pairs. The match is extended line by line in both directions, and
 the run is deleted where it occurs later. A line's first occurrence always stays.
+A run that goes further with another document than with the first one keeps
+the lines beyond, unless it has more than 50 words: ``passages`` finds those,
+whatever document holds them first and wherever in its lines they lie.
 """
 
 from __future__ import annotations

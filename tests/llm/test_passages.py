@@ -127,3 +127,10 @@ def test_passages_in_short_lines(spark):
             rows.append((i, f"{head}\n{shared}\n{tail}"))
             want.append((i, f"{head}\n{tail}" if i % 2 else rows[-1][1]))
     assert sorted((i, t) for i, t, _ in result(spark, rows, D.without_repeated_text)) == want
+
+
+def test_longer_run_with_another_than_the_first_document(spark):
+    p, q = (" ".join(f"{x}{k}" for k in range(n)) for x, n in (("p1x", 79), ("q1x", 8)))
+    rows = [(1, f"one\n{p}\ntwo"), (2, f"three\n{q}\nq\n{p}\nfour"), (3, f"five\n{q}\nq\n{p}\nsix")]
+    got = {i: t for i, t, _ in result(spark, rows, D.without_repeated_text)}
+    assert got == {1: rows[0][1], 2: f"three\n{q}\nq\nfour", 3: "five\nsix"}
