@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, linededup, minmax, packing, pii, qualitynet, rules, secretscan, sharding
+from . import decontaminate, language, linededup, merkle, minmax, packing, pii, qualitynet, rules, secretscan, sharding
 from .common import table
 
 # Key of the registered pseudonym query; a job passes its own secret.
@@ -55,6 +55,10 @@ def op10_line_first_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(table(spark, sf_dir, "documents"), "doc_id").drop("clean_text")
 
 
+def op13_persistent_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"), merkle.without_breaks())
+
+
 _ALL = (
     op1_bounded_ring,
     op2_byte_convolutions,
@@ -66,6 +70,7 @@ _ALL = (
     op8_certified_packing,
     op9_feistel_pseudonyms,
     op10_line_first_rules,
+    op13_persistent_manifest,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
