@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import gc
+import math
 import os
 import tempfile
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,6 +93,35 @@ def rows_of(docs: DataFrame, ids: DataFrame, key: str = "doc_id", how: str = "le
     return docs.join(F.broadcast(ids) if small else ids, key, how)
 
 
+DRIVER_BLOCKS = 64  # arrays that the driver adds up itself
+
+
+def _added(batches):
+    """One array of doubles: the sum of all that a task gets."""
+    total = None
+    for batch in batches:
+        for block in batch.column(0).to_pylist():
+            own = np.frombuffer(block, np.float64)
+            total = own.copy() if total is None else total + own
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["block"])
+
+
+def summed_blocks(blocks: DataFrame, parts: int, shape: tuple[int, ...]) -> np.ndarray:
+    """The sum of the arrays in ``blocks(block binary)``, of which ``parts`` tasks return one each.
+
+    Many are first added up in about as many tasks as each of them then gets, so
+    that neither a task nor the driver holds an array per task.
+    """
+    while parts > DRIVER_BLOCKS:
+        parts = max(DRIVER_BLOCKS, math.isqrt(parts))
+        blocks = blocks.repartition(parts).mapInArrow(_added, "block binary")
+    total = np.zeros(math.prod(shape))
+    for row in blocks.collect():
+        total += np.frombuffer(row["block"], np.float64)
+    return total.reshape(shape)
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """Names a row's document, also one without an id; never NULL.
 
