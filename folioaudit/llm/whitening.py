@@ -2,9 +2,9 @@
 
 Entries become integers, so sums and deviations are exact. The covariance is
 never built: it is only multiplied with a narrow block of vectors, ``V Q =
-Xc'(Xc Q) / n``, in one pass over the stored list of distinct vectors. Tasks
-centre their rows, multiply twice and return a block; blocks are added up in
-tasks before the driver gets them.
+Xc'(Xc Q) / n``, in one pass over the distinct vectors, which are stored as blocks
+of small integers. Tasks centre their rows, multiply twice and return a block;
+blocks are added up in tasks before the driver gets them.
 
 A Chebyshev polynomial of V, evaluated by its three-term recurrence of such
 passes, damps the part of the spectrum below the block's last Ritz value. QR and
@@ -36,7 +36,8 @@ CHECK_STEPS = 8  # and to see that nothing was missed
 RESIDUAL = 1e-13  # of a certified pair, in units of the largest eigenvalue
 RANK = 1e-11  # components below this part of the largest eigenvalue don't count
 ROUNDS = 40  # before the block is widened
-_BLOCK_ROWS = 2048
+_BLOCK_ROWS = 2048  # projected together
+_BLOCK_BYTES = 1 << 20  # of a stored block, as 64-bit integers
 
 
 def _usable(vector: Column) -> Column:
@@ -66,6 +67,7 @@ class Centre:
     whole: np.ndarray
     rest: np.ndarray
     exact: bool  # whether n times a centred entry, squared and summed, fits 64 bits
+    kind: str  # of the integers that entries less ``whole`` are stored as
 
     def numerators(self, x: np.ndarray) -> np.ndarray:
         """``n x - S``, exact."""
@@ -74,8 +76,10 @@ class Centre:
             apart = apart.astype(object)
         return apart * self.n - self.rest
 
-    def centred(self, x: np.ndarray) -> np.ndarray:
-        return (self.numerators(x) / self.n).astype(np.float64)
+    def rows(self, block: bytes) -> np.ndarray:
+        """Centred rows of a stored block."""
+        apart = np.frombuffer(block, self.kind).reshape(-1, len(self.whole))
+        return apart - (self.rest / self.n).astype(np.float64)
 
 
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,14 +111,28 @@ def _centre(listed: DataFrame) -> Centre | None:
     spread = max(max(abs(r["most"] - s // n), abs(r["least"] - s // n)) for r, s in zip(found, sums)) + 1
     exact = len(sums) * (n * spread) ** 2 < 1 << 63
     kind = np.int64 if exact else object
-    return Centre(n, np.array([s // n for s in sums], np.int64), np.array([s % n for s in sums], kind), exact)
+    stored = "<i4" if spread < 1 << 31 else "<i8"
+    return Centre(n, np.array([s // n for s in sums], np.int64), np.array([s % n for s in sums], kind), exact, stored)
+
+
+def _packer(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Vectors as blocks of bytes, which cost a pass next to nothing to read."""
+
+    def run(batches):
+        centre = shared.value
+        rows = max(1, _BLOCK_BYTES // (8 * len(centre.whole)))
+        for batch in batches:
+            for at in range(0, len(batch), rows):
+                apart = (_matrix(batch.column(0).slice(at, rows)) - centre.whole).astype(centre.kind)
+                yield pa.RecordBatch.from_arrays([pa.array([apart.tobytes()], pa.binary())], ["rows"])
+
+    return run
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], centre: Centre) -> Iterator[np.ndarray]:
     for batch in batches:
-        x = _matrix(batch.column(0)) if len(batch) else np.empty((0, len(centre.whole)), np.int64)
-        for at in range(0, len(x), _BLOCK_ROWS):
-            yield centre.centred(x[at : at + _BLOCK_ROWS])
+        for block in batch.column(0).to_pylist():
+            yield centre.rows(block)
 
 
 def _multiplier(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -294,7 +312,8 @@ def fit(x: DataFrame, components: int = COMPONENTS) -> Whitening | None:
         centre = _centre(listed)
         if centre is None:
             return None
-        covariance = Covariance(listed, centre)
+        shared = spark.sparkContext.broadcast(centre)
+        covariance = Covariance(held.store(listed.mapInArrow(_packer(shared), "rows binary")), centre)
         found = leading(covariance.times, covariance.size, components)
         signs = np.sign(found.vectors[np.abs(found.vectors).argmax(axis=0), np.arange(found.vectors.shape[1])])
         vectors = found.vectors * signs
