@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, linededup, merkle, minmax, packing, pii, qualitynet, rules, secretscan, sharding, whitening
+from . import bilinear, decontaminate, language, linededup, merkle, minmax, packing, pii, qualitynet, rules, secretscan, sharding, whitening
 from .common import table
 
 # Key of the registered pseudonym query; a job passes its own secret.
@@ -55,6 +55,10 @@ def op10_line_first_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(table(spark, sf_dir, "documents"), "doc_id").drop("clean_text")
 
 
+def op11_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bilinear.scores_of(table(spark, sf_dir, "documents"))
+
+
 def op12_chebyshev_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -74,6 +78,7 @@ _ALL = (
     op8_certified_packing,
     op9_feistel_pseudonyms,
     op10_line_first_rules,
+    op11_log_bilinear,
     op12_chebyshev_whitening,
     op13_persistent_manifest,
 )
