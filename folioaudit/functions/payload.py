@@ -12,24 +12,27 @@ from pyspark.sql import functions as F
 _NUMBER = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
 
 
-# The JSON reader refuses strings beyond this length unless it is told otherwise,
-# and the reader of variants can't be told.
-_LONGEST = 20_000_000
-_UNLIMITED = {"maxStringLen": "2147483647"}
-
-
-def _shortened(body: Column) -> Column:
-    """The same JSON with long strings replaced by a mark; types and keys stay."""
-    plain = F.replace(F.replace(body, F.lit("\\\\"), F.lit("bb")), F.lit('\\"'), F.lit("q"))
-    return F.regexp_replace(plain, '"[^"]{1000,}"', '"long"')
+# The JSON reader refuses long strings and numbers unless it is told otherwise.
+# What it would accept beyond JSON is turned off.
+_UNLIMITED = {
+    "maxStringLen": "2147483647",
+    "maxNumLen": "2147483647",
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+}
 
 
 def parse(body: Column) -> Column:
-    """The body as a variant, for verdicts and types; NULL when it is no JSON.
+    """The body as a variant, for verdicts and types; NULL unless all of it is one JSON document.
 
-    Payload texts are read from the body itself: a variant has a size limit.
+    The reader stops behind the first document, whatever follows. So it gets the
+    body and the body's digest as the two items of a list: what follows a
+    document would be further items, an error, or cut off the digest.
     """
-    return F.try_parse_json(F.when(F.length(body) > _LONGEST, _shortened(body)).otherwise(body))
+    digest = F.sha2(body, 256)
+    listed = F.from_json(F.concat(F.lit("["), body, F.lit(',"'), digest, F.lit('"]')), "variant", _UNLIMITED)
+    whole = (F.try_variant_get(listed, "$[1]", "string") == digest) & _field(listed, "$[2]").isNull()
+    return F.when(whole, _field(listed, "$[0]"))
 
 
 def _field(json: Column, path: str) -> Column:

@@ -11,7 +11,7 @@ from ..functions import fields
 from ..functions.folding import fold
 from ..functions.payload import http_ok
 from ..schema import LANDED_AT, LANDED_COLUMNS, LANDED_KEY
-from .joins import newest_by_key, only_keys
+from .joins import newest_by_key, with_newest
 
 
 def distinct_links(candidates: DataFrame) -> DataFrame:
@@ -19,18 +19,20 @@ def distinct_links(candidates: DataFrame) -> DataFrame:
     return candidates.select("link").filter(F.col("link").isNotNull()).distinct()
 
 
-def newest_landed(landed: DataFrame, columns: Sequence[str] = LANDED_COLUMNS) -> DataFrame:
-    return newest_by_key(landed, LANDED_KEY, columns, LANDED_AT)
+def newest_landed(
+    landed: DataFrame, columns: Sequence[str] = LANDED_COLUMNS, wanted: DataFrame | None = None, bucketed: bool = False
+) -> DataFrame:
+    return newest_by_key(landed, LANDED_KEY, columns, LANDED_AT, wanted, bucketed)
 
 
 def acquire(links: DataFrame, landed: DataFrame, bucketed: bool = False) -> DataFrame:
     """Landed content per address, with ``obtained``; content is NULL without it.
 
-    Rows of other addresses are dropped before versions are compared.
-    ``bucketed``: the landed rows are stored in buckets of their address.
+    Versions of other addresses are dropped before versions are compared, and
+    only the newest one's text moves. ``bucketed``: the landed rows are stored
+    in buckets of their address.
     """
-    found = newest_landed(only_keys(landed, links, LANDED_KEY, bucketed))
-    joined = links.join(found, "link", "left")
+    joined = with_newest(links, landed, LANDED_KEY, LANDED_COLUMNS, LANDED_AT, bucketed)
     obtained = http_ok(F.col("http_status"))
     content = [F.when(obtained, F.col(c)).alias(c) for c in LANDED_COLUMNS if c != "http_status"]
     return joined.select("link", obtained.alias("obtained"), *content)

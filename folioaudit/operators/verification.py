@@ -12,7 +12,7 @@ from ..functions.fields import required_fields
 from ..functions.lines import differs, with_line_diff
 from ..functions.rules import ISSUERS, SITE, SITE_ISSUER
 from ..schema import LANDED_KEY, RESPONSE_COLUMNS, RESPONSE_KEY, LANDED_AT
-from .joins import lookup, newest_by_key, only_keys
+from .joins import lookup, newest_by_key
 from .landing import newest_landed
 
 
@@ -32,15 +32,18 @@ def with_request(docs: DataFrame) -> DataFrame:
     )
 
 
-def newest_responses(responses: DataFrame) -> DataFrame:
-    return newest_by_key(responses, RESPONSE_KEY, RESPONSE_COLUMNS, LANDED_AT)
+def newest_responses(responses: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    return newest_by_key(responses, RESPONSE_KEY, RESPONSE_COLUMNS, LANDED_AT, wanted)
 
 
-def direct_copies(responses: DataFrame) -> DataFrame:
-    """Copies that came with the response itself; NULL text where rejected."""
+def direct_copies(responses: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """Copies that came with the response itself; NULL text where rejected.
+
+    ``wanted``: of the requests that occur in it only.
+    """
     afp, body, text = F.col("afp"), F.col("body"), F.col("document_text")
     others = responses.filter(afp.isin(*[a for a in ISSUERS if a != SITE_ISSUER]))
-    newest = newest_responses(others)
+    newest = newest_responses(others, wanted)
     in_json = afp.isin("uno", "planvital")
     parsed = newest.withColumn("json", F.when(in_json & P.http_ok(F.col("http_status")), P.parse(body)))
     json = F.col("json")
@@ -65,13 +68,13 @@ def direct_copies(responses: DataFrame) -> DataFrame:
     )
 
 
-def followed_copies(responses: DataFrame, landed: DataFrame) -> DataFrame:
+def followed_copies(responses: DataFrame, landed: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """Copies behind a path named in the response: a second lookup, by address.
 
     Only addresses of the issuer's site can match, and that filter reaches the
     scan of the landed documents.
     """
-    newest = newest_responses(responses.filter(F.col("afp") == SITE_ISSUER))
+    newest = newest_responses(responses.filter(F.col("afp") == SITE_ISSUER), wanted)
     parsed = newest.withColumn(
         "json", F.when(P.http_ok(F.col("http_status")), P.parse(F.col("body")))
     )
@@ -82,17 +85,17 @@ def followed_copies(responses: DataFrame, landed: DataFrame) -> DataFrame:
         F.when(P.habitat_accepts(json), F.concat(F.lit(SITE), P.habitat_path(json))).alias("url"),
     )
     on_site = landed.filter(F.col("link").startswith(SITE))
-    wanted = named.select(F.col("url").alias("link")).filter(F.col("link").isNotNull())
-    content = newest_landed(only_keys(on_site, wanted, LANDED_KEY), ("http_status", "text")).select(
+    urls = named.select(F.col("url").alias("link")).filter(F.col("link").isNotNull())
+    content = newest_landed(on_site, ("http_status", "text"), urls).select(
         "link", F.when(P.http_ok(F.col("http_status")), F.col("text")).alias("copy_text")
     )
     found = lookup(named, content, F.col("url"), F.col("link"), F.col("request_key"))
     return found.select("afp", "request_key", "copy_text")
 
 
-def issuer_copies(responses: DataFrame, landed: DataFrame) -> DataFrame:
+def issuer_copies(responses: DataFrame, landed: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """One folded copy per request; NULL text means the request failed."""
-    copies = direct_copies(responses).unionByName(followed_copies(responses, landed))
+    copies = direct_copies(responses, wanted).unionByName(followed_copies(responses, landed, wanted))
     return copies.withColumn("copy_text", fold(F.col("copy_text")))
 
 
@@ -107,7 +110,7 @@ def verify(docs: DataFrame, responses: DataFrame, landed: DataFrame) -> DataFram
     Only responses that some document asks for are reduced, parsed and decoded.
     ``docs`` is used twice: store it first where it is dear.
     """
-    copies = issuer_copies(only_keys(responses, docs, RESPONSE_KEY), landed)
+    copies = issuer_copies(responses, landed, docs)
     copies = copies.select(
         F.col("afp").alias("_afp"), F.col("request_key").alias("_key"), "copy_text"
     )

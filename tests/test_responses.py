@@ -106,6 +106,47 @@ def test_last_duplicate_key_counts(spark):
     assert verdicts(spark, bodies, P.uno_accepts(json())) == [True, False]
 
 
+def test_one_reader_at_every_length(spark):
+    """Verdicts don't hang on the body's length: short, and beyond what the reader's defaults allow."""
+    numbers = "[" + ",".join(map(str, range(800))) + "]"
+    key, path = "k" * 3000, "/" + "m" * 2500
+    cases = [
+        (f'{{"valid":{numbers},"resultado":{numbers}', True, False),
+        (f'{{"{key}":1,"valid":"x","resultado":0.0', True, True),
+        ('{"valid":0,"valid":1,"resultado":1,"resultado":0', True, True),
+        ('{"valid":1,"valid":[],"resultado":0,"resultado":[0]', False, False),
+    ]
+    for size in (4, 20_000_400):
+        filler = F.concat(F.lit(f',"mensaje":"{path}","data":"'), F.repeat(F.lit("A"), size), F.lit('"}'))
+        for tail, good in (("", True), (" \n", True), (" x", False), ("{}", False), (",1", False), ('],["x"', False), ("}", False)):
+            rows = cases if good and not tail or size == 4 else cases[1:2]
+            df = spark.createDataFrame([(b,) for b, _, _ in rows], "b string").select(F.concat("b", filler, F.lit(tail)).alias("b"))
+            df = df.withColumn("j", P.parse(F.col("b")))
+            got = df.select(
+                P.planvital_accepts(F.col("j")), P.habitat_accepts(F.col("j")), P.habitat_path(F.col("j")),
+                F.length(P.planvital_payload(F.col("j"), F.col("b"))),
+            ).collect()
+            want = [(v and good, h and good, path if good else None, size if good else None) for _, v, h in rows]
+            assert [tuple(r) for r in got] == want, (size, tail)
+
+
+def test_only_json_is_read(spark):
+    """As strict as the standard library, but for NaN and Infinity, which are no JSON."""
+    import json as standard
+
+    bodies = ["{}", " [1] ", "{'a':1}", "{a:1}", '{"a":1,}', '{"a":01}', "NaN", '{"a":Infinity}', '{"a":"\t"}', "/**/{}", "{} {}", "1 2", "1", '"x"', "tru", ""]
+    bodies += ['{"a":' + "1" * 2000 + "}", '{"a":1e400}', "\ufeff{}", '{"a":"\\x"}', '{"a":"\\u00e9"}']
+
+    def read(text):
+        try:
+            standard.loads(text, parse_constant=lambda _: [][0])
+        except (ValueError, IndexError):
+            return False
+        return True
+
+    assert verdicts(spark, bodies, json().isNotNull()) == [read(b) for b in bodies]
+
+
 def test_status(spark):
     assert evaluate(spark, [(200,), (404,), (None,)], "s int", P.http_ok(F.col("s"))) == [True, False, False]
 
