@@ -6,6 +6,8 @@ row cannot stop a job.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,10 +31,19 @@ def parse(body: Column) -> Column:
     body and the body's digest as the two items of a list: what follows a
     document would be further items, an error, or cut off the digest.
     """
-    digest = F.sha2(body, 256)
-    listed = F.from_json(F.concat(F.lit("["), body, F.lit(',"'), digest, F.lit('"]')), "variant", _UNLIMITED)
-    whole = (F.try_variant_get(listed, "$[1]", "string") == digest) & _field(listed, "$[2]").isNull()
-    return F.when(whole, _field(listed, "$[0]"))
+    def listed(digest: Column) -> Column:
+        return F.from_json(F.concat(F.lit("["), body, F.lit(',"'), digest, F.lit('"]')), "variant", _UNLIMITED)
+
+    def checked(found: Column, digest: Column) -> Column:
+        whole = (F.try_variant_get(found, "$[1]", "string") == digest) & _field(found, "$[2]").isNull()
+        return F.when(whole, _field(found, "$[0]"))
+
+    return _bound(F.sha2(body, 256), lambda digest: _bound(listed(digest), lambda found: checked(found, digest)))
+
+
+def _bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once, however often ``then`` names it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
 def _field(json: Column, path: str) -> Column:

@@ -3,89 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+def newest_by_key(df: DataFrame, keys: Sequence[str], values: Sequence[str], order: str) -> DataFrame:
+    """The latest row per key.
 
-_RANK, _LATEST = "_rank", "_latest"
-# A rank is one number: the time in microseconds, then two bytes of how the
-# values begin, then a digest of them.
-_TIME_BITS, _BEGIN_BITS, _DIGEST_BITS = 58, 16, 47
-
-
-def _ranked(df: DataFrame, keys: Sequence[str], values: Sequence[str], order: str) -> DataFrame:
-    """Keys, values, and how new a row is as a number of fixed width.
-
-    A row without a time is the oldest. Equal times are settled by the values:
-    by their first bytes, then by their digest. Rows of one key and rank are equal.
+    An aggregate, not a window: each task keeps one row per key before the
+    shuffle, so a key with very many versions is not gathered anywhere. Equal
+    times are settled by the values, which makes the choice repeatable.
     """
-    time = F.col(order)
-    if not isinstance(df.schema[order].dataType, T.IntegralType):
-        time = F.unix_micros(time.cast("timestamp"))
-    bound = F.lit(1 << _TIME_BITS)
-    time = F.coalesce(F.least(F.greatest(time.cast("long"), -bound), bound), -bound)
-    begin = F.concat_ws("", *[F.substring(F.col(v).cast("string"), 1, 2) for v in values]).cast("binary")
-    begin = F.conv(F.rpad(F.hex(F.substring(begin, 1, 2)), 4, "0"), 16, 10).cast("long")
-    digest = F.xxhash64(*values).bitwiseAND(F.lit((1 << _DIGEST_BITS) - 1))
-    tie = F.shiftleft(begin, _DIGEST_BITS) + digest
-    scale = F.lit(Decimal(1 << (_BEGIN_BITS + _DIGEST_BITS)))
-    rank = time.cast("decimal(18,0)") * scale + tie.cast("decimal(19,0)")
-    return df.filter(_all_set(keys)).select(*keys, *values, rank.cast("decimal(38,0)").alias(_RANK))
-
-
-def _latest(rows: DataFrame, keys: Sequence[str], wanted: DataFrame | None, bucketed: bool) -> DataFrame:
-    """The greatest rank per key: narrow rows, combined before the shuffle."""
-    narrow = rows.select(*keys, _RANK)
-    if wanted is not None:
-        narrow = only_keys(narrow, wanted, keys, bucketed)
-    return narrow.groupBy(*keys).agg(F.max(_RANK).alias(_LATEST)).select(*[F.col(k).alias(f"_of_{k}") for k in keys], _LATEST)
-
-
-def _is_latest(keys: Sequence[str], bucketed: bool) -> Column:
-    condition = F.col(_RANK) >= F.col(_LATEST) if bucketed else F.col(_RANK) == F.col(_LATEST)
-    for key in keys:
-        condition = condition & (F.col(key) == F.col(f"_of_{key}"))
-    return condition
-
-
-def newest_by_key(
-    df: DataFrame, keys: Sequence[str], values: Sequence[str], order: str, wanted: DataFrame | None = None, bucketed: bool = False
-) -> DataFrame:
-    """The latest row per key, of the keys that occur in ``wanted`` where it is given.
-
-    Two steps: the greatest rank per key, over narrow rows and with a hash
-    aggregate; then the rows of that rank. Values move once, by key and rank, so
-    a key with very many versions is not gathered anywhere, and are not sorted
-    to be compared. ``bucketed``: ``df`` is stored in buckets of the key, and
-    its rows are joined in place.
-    """
-    rows = _ranked(df, keys, values, order)
-    found = rows.join(_latest(rows, keys, wanted, bucketed), _is_latest(keys, bucketed))
-    # Rows of one rank are equal: copies of a row are one version. With the rank
-    # they meet where the join has put them, without another shuffle.
-    return found.select(*keys, _LATEST, *values).distinct().drop(_LATEST)
-
-
-def with_newest(
-    base: DataFrame, df: DataFrame, keys: Sequence[str], values: Sequence[str], order: str, bucketed: bool = False
-) -> DataFrame:
-    """``base``, which has each key once, with the values of the latest row; NULLs where there is none.
-
-    As ``newest_by_key``, but what is not found stays, and found values need no
-    further shuffle to their keys.
-    """
-    rows = _ranked(df, keys, values, order)
-    latest = _latest(rows, keys, base, bucketed)
-    same = _all_set(keys)
-    for key in keys:
-        same = same & (F.col(key) == F.col(f"_of_{key}"))
-    marked = base.join(latest, same, "left").drop(*[f"_of_{k}" for k in keys])
-    rows = rows.select(*[F.col(k).alias(f"_of_{k}") for k in keys], _RANK, *values)
-    found = marked.join(rows, _is_latest(keys, bucketed), "left")
-    return found.select(*base.columns, _LATEST, *values).distinct().drop(_LATEST)
+    latest = F.max(F.struct(order, *values)).alias("_latest")
+    return (
+        df.filter(_all_set(keys))
+        .groupBy(*keys)
+        .agg(latest)
+        .select(*keys, *[F.col("_latest")[v].alias(v) for v in values])
+    )
 
 
 def _all_set(keys: Sequence[str]) -> Column:

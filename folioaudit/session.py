@@ -17,8 +17,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Text shrinks well in a shuffle and each row is work: split early.
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
-    # A skewed join is split even where what follows then needs a shuffle.
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     # Of duplicate keys in a JSON object the last one counts.
