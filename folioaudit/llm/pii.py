@@ -4,7 +4,8 @@ Values are found by pattern and validated: check digits, octet and calendar
 ranges. A keyed Feistel network permutes each within its format: digits stay
 digits, letters stay letters, separators and length stay, check digits are made
 to fit, dates stay dates. The same value always gets the same pseudonym, in
-every document, and different values get different ones.
+every document, and different values of one written form get different ones.
+An address's octets may change their number of digits.
 
 DataFrame functions only; every document is worked on in its own row.
 """
@@ -17,7 +18,10 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 KINDS = ("email", "iban", "ip", "date", "ssn", "phone", "card")
 
-EMAIL = "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)*\\.[A-Za-z]{2,}"
+# Lengths are those of RFC 5321: 64 characters before the sign, labels of 63, 127
+# labels. Bounded and possessive: a pattern that may go back without a bound
+# takes quadratic time on a long run, or the stack of the thread.
+EMAIL = "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\\.[A-Za-z0-9-]{1,63}+){0,125}\\.[A-Za-z]{2,63}"
 IBAN = "(?<![A-Za-z0-9])[A-Z]{2}\\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 IP = "(?<![\\w.])\\d{1,3}(?:\\.\\d{1,3}){3}(?!\\.?\\w)"
 DATE = "(?<![\\w/-])(?:\\d{4}-\\d{2}-\\d{2}|\\d{1,2}/\\d{1,2}/\\d{4})(?![\\w/-])"
@@ -127,7 +131,7 @@ def _whole(pattern: str) -> str:
 def kind_of(hit: Column) -> Column:
     """The kind of a found value, NULL where validation fails."""
     digits = _digits(hit)
-    octets = F.forall(F.split(hit, "\\."), lambda o: o.cast("int") <= 255)
+    octets = F.forall(F.split(hit, "\\."), lambda o: o.rlike("^(?:0|[1-9]\\d*)$") & (o.cast("int") <= 255))
     compact = F.regexp_replace(hit, " ", "")
     iban = _mod97(F.concat(F.substring(compact, 5, 40), F.substring(compact, 1, 4))) == 1
     real_ssn = hit.rlike("^(?!000|666|9)\\d{3}-(?!00)\\d{2}-(?!0000)\\d{4}$")
@@ -149,15 +153,46 @@ def _date(hit: Column) -> Column:
     return F.when((found >= first) & (found < F.date_add(first, CYCLE_DAYS)), found)
 
 
+WALK = 400  # steps; each leaves the form with a probability of 0.78 at most
+
+
 def _new_date(hit: Column, key: str) -> Column:
+    """Another date of the same written form.
+
+    The form of a date with slashes is its order and its numbers of digits. The
+    permutation of all dates is applied until a date has the form, which makes a
+    permutation of the dates that have it. Day first is only read where the
+    month can't stand first, so such days are greater than 12.
+    """
     first = F.lit(CYCLE_FIRST).cast("date")
-    day = F.date_add(first, feistel_number(F.datediff(_date(hit), first).cast("bigint"), CYCLE_A, CYCLE_B, key, F.lit("date")).cast("int"))
+    permuted = lambda n: feistel_number(n, CYCLE_A, CYCLE_B, key, F.lit("date"))
     month_first = F.try_to_date(hit, "M/d/yyyy").isNotNull()
-    return (
-        F.when(hit.contains("-"), F.date_format(day, "yyyy-MM-dd"))
-        .when(month_first, F.date_format(day, "MM/dd/yyyy"))
-        .otherwise(F.date_format(day, "dd/MM/yyyy"))
-    )
+    parts = F.split(hit, "/")
+    left, right = F.length(parts[0]), F.length(F.get(parts, F.lit(1)))
+    month_size, day_size = F.when(month_first, left).otherwise(right), F.when(month_first, right).otherwise(left)
+
+    def fits(n: Column) -> Column:
+        day = F.date_add(first, n.cast("int"))
+        short = ((month_size == 2) | (F.month(day) < 10)) & ((day_size == 2) | (F.dayofmonth(day) < 10))
+        return hit.contains("-") | (short & (month_first | (F.dayofmonth(day) > 12)))
+
+    def step(s: Column, _: Column) -> Column:
+        return F.when(s["done"], s).otherwise(walked(permuted(s["n"])))
+
+    def walked(n: Column) -> Column:
+        # Bound by a list of one, so that it is worked out once.
+        return F.transform(F.array(n), lambda x: F.struct(x.alias("n"), fits(x).alias("done")))[0]
+
+    start = F.datediff(_date(hit), first).cast("bigint")
+    n = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), F.struct(start.alias("n"), F.lit(False).alias("done")), step, lambda s: s["n"])
+    sized = lambda value, size: F.when(size == 2, F.lpad(value.cast("string"), 2, "0")).otherwise(value.cast("string"))
+
+    def written(day: Column) -> Column:
+        month, of_month = sized(F.month(day), month_size), sized(F.dayofmonth(day), day_size)
+        slashed = F.concat_ws("/", F.when(month_first, month).otherwise(of_month), F.when(month_first, of_month).otherwise(month), F.date_format(day, "yyyy"))
+        return F.when(hit.contains("-"), F.date_format(day, "yyyy-MM-dd")).otherwise(slashed)
+
+    return written(F.date_add(first, n.cast("int")))
 
 
 def _new_ip(hit: Column, key: str) -> Column:

@@ -23,8 +23,9 @@ HAS_WORD = "[^ \\t-\\r]"
 SYMBOLS = "[#*$%&|<>]"
 # A sentence ends; closing quotes and brackets may follow.
 ENDS_SENTENCE = "[.!?:;…。！？][\"'”’»)\\]]*[ \\t-\\r]*$"
-# Shouting: three times two or more exclamation marks.
-SHOUTED = "!!(?:.*?[^!]!!){2}"
+# Shouting: three times two or more exclamation marks. Runs are counted, so a
+# long one is read once.
+SHOUT, SHOUTS = "!!++", 3
 # Two or more separators with entries between them.
 SEPARATED = "[|»›·•][^|»›·•]+[|»›·•]"
 NAVIGATION = (
@@ -48,7 +49,7 @@ def line_fails(line: Column) -> Column:
     return (
         ~line.rlike(ENDS_SENTENCE)
         | line.rlike(SEPARATED)
-        | line.rlike(SHOUTED)
+        | (F.regexp_count(line, F.lit(SHOUT)) >= SHOUTS)
         | line.rlike(NAVIGATION)
         | (10 * symbols > F.length(line))
         | line.rlike(BOILERPLATE)

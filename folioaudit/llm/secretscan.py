@@ -4,7 +4,8 @@ Strong patterns are reported on their own. A weak candidate - an identifier, a
 bare secret or an endpoint - means nothing alone. It is reported only where
 complementary parts of one credential share a scope: an identifier with a
 secret, or a secret with an endpoint. Scopes are stretches of neighbouring
-characters; parts are joined by their positions in one sorted pass.
+characters; parts are joined by their positions in one sorted pass. User and
+secret of a URL are parts of their own, and its query may hold a bare secret.
 """
 
 from __future__ import annotations
@@ -12,9 +13,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,7 +44,14 @@ IDENTIFIER = re.compile(
     re.I | re.A,
 )
 BARE_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
-ENDPOINT = re.compile(r"""(?<![A-Za-z0-9])(?:[a-z][a-z0-9+.-]*://[^\s"'<>]+|(?:[a-z0-9-]+\.)+[a-z]{2,}:\d{2,5}(?!\d))""", re.I | re.A)
+# Endpoints are found by what can't be missing in them, and read to the left
+# from there: a pattern that starts anywhere takes quadratic time on long runs.
+_URL = re.compile(r"""://[^\s"'<>]+""")
+_PORT = re.compile(r":\d{2,5}(?!\d)", re.A)
+_SCHEME = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+.-")
+_HOST = _SCHEME - {"+"}
+_ALNUM = _SCHEME - set("+.-")
+_LETTERS = _ALNUM - set("0123456789")
 
 Span = tuple[str, int, int]
 
@@ -85,6 +94,77 @@ def _meets(stretches: list[tuple[int, int]], start: int, end: int) -> bool:
     return at >= 0 and stretches[at][1] > start
 
 
+def _run_before(text: str, end: int, least: int, allowed: frozenset) -> int:
+    """Where the characters of ``allowed`` before ``end`` begin, not before ``least``."""
+    while end > least and text[end - 1] in allowed:
+        end -= 1
+    return end
+
+
+def _scheme_start(text: str, end: int, least: int) -> int | None:
+    """The first letter of a run that no letter or digit precedes."""
+    for k in range(_run_before(text, end, least, _SCHEME), end):
+        if text[k] in _LETTERS and (k == 0 or text[k - 1] not in _ALNUM):
+            return k
+    return None
+
+
+def _host_start(text: str, end: int, least: int) -> int | None:
+    """Where the longest row of labels starts that ends here with two letters or more."""
+    first = _run_before(text, end, least, _HOST)
+    labels = text[first:end].split(".")
+    if len(labels[-1]) < 2 or not set(labels[-1]) <= _LETTERS:
+        return None
+    k = len(labels) - 1
+    while k > 0 and labels[k - 1]:
+        k -= 1
+    # No letter or digit stands before it, nor where an earlier match ends.
+    for start in range(end - len(".".join(labels[k:])), end - len(labels[-1]) - 1):
+        if text[start] != "." and (start == 0 or text[start - 1] not in _ALNUM):
+            return start
+    return None
+
+
+def endpoints_of(text: str) -> list[tuple[int, int]]:
+    """URLs, and hosts with a port: leftmost ones that don't overlap."""
+    signs = [(m.start(), _URL, _scheme_start) for m in re.finditer("://", text)] + [(m.start(), _PORT, _host_start) for m in _PORT.finditer(text)]
+    found: list[tuple[int, int]] = []
+    after = 0
+    for at, pattern, find in sorted(signs, key=lambda x: x[0]):
+        if at < after:
+            continue
+        start = find(text, at, after)
+        match = pattern.match(text, at) if start is not None else None
+        if match:
+            found.append((start, match.end()))
+            after = match.end()
+    return found
+
+
+_CREDENTIALS = re.compile(r"""://(?:([^\s/?#:@"'<>]+)?:)?([^\s/?#@"'<>]+)@""")
+
+
+_QUERY_VALUE = re.compile(r"[?&;][^=&;\s]*=([A-Za-z0-9+/_-]{20,}={0,2})(?![A-Za-z0-9+/_=-])")
+
+
+def parts_of(text: str, start: int, end: int) -> tuple[tuple[int, int], tuple[int, int] | None, list[tuple[int, int]]]:
+    """A URL's place without its credentials and its query; its user; its secrets."""
+    place, user, secrets = (start, end), None, []
+    found = _CREDENTIALS.search(text, start, end)
+    if found and text.find("/", start, found.start()) < 0:
+        place = (found.end(), end)
+        if text[found.start(2) - 1] == ":":
+            user = found.span(1) if found[1] else None
+            secrets.append(found.span(2))
+        else:
+            user = found.span(2)
+    query = text.find("?", place[0], end)
+    if query > place[0]:
+        place = (place[0], query)
+        secrets += [m.span(1) for m in _QUERY_VALUE.finditer(text, query, end) if _looks_random(m[1])]
+    return place, user, secrets
+
+
 def linked_spans(text: str, base: list[Span]) -> list[Span]:
     """Weak candidates that have a complementary part in their scope.
 
@@ -93,7 +173,9 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
     if not any(sign in text for sign in (":", "=")) and not any(kind == "access" for kind, _, _ in base):
         return []  # no identifier and no endpoint without one of these
     identifiers = [(m.start(1), m.end(1), True) for m in IDENTIFIER.finditer(text)]
-    endpoints = [(m.start(), m.end(), True) for m in ENDPOINT.finditer(text)]
+    cut = [parts_of(text, *x) for x in endpoints_of(text)]
+    endpoints = [(*place, True) for place, _, _ in cut]
+    identifiers += [(*user, True) for _, user, _ in cut if user]
     strong_ids = [(s, e, False) for kind, s, e in base if kind == "access"]
     if not identifiers and not endpoints and not strong_ids:
         return []
@@ -103,23 +185,21 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
         for m in BARE_SECRET.finditer(text)
         if not _meets(strong, m.start(), m.end()) and not _meets(places, m.start(), m.end()) and _looks_random(m[0])
     ]
+    named = [x for _, _, found in cut for x in found if not _meets(strong, *x)]
+    secrets = [x for x in secrets if not _meets(_united(named), *x[:2])] + [(*x, True) for x in named]
     secrets += [(s, e, False) for kind, s, e in base if kind in ("assign", "hex")]
     # An identifier's own value is not its secret.
     own = {(s, e) for s, e, _ in identifiers}
     secrets = sorted(x for x in secrets if x[:2] not in own)
     all_ids, endpoints = sorted(identifiers + strong_ids), sorted(endpoints)
 
-    def near(part: tuple[int, int, bool], others: list[tuple[int, int, bool]], firsts: list[int], longest: int) -> bool:
-        low = bisect_left(firsts, part[0] - SCOPE - longest)
-        for s, e, _ in others[low:]:
-            if s > part[1] + SCOPE:
-                return False
-            if e >= part[0] - SCOPE:
-                return True
-        return False
+    def near(part: tuple[int, int, bool], firsts: list[int], furthest: list[int]) -> bool:
+        """Does one of the others, which are sorted, come within the scope?"""
+        before = bisect_right(firsts, part[1] + SCOPE)
+        return before > 0 and furthest[before - 1] >= part[0] - SCOPE
 
     def index(parts: list) -> tuple:
-        return parts, [p[0] for p in parts], max((e - s for s, e, _ in parts), default=0)
+        return [p[0] for p in parts], list(accumulate((p[1] for p in parts), max))
 
     ids, keys, ends = index(all_ids), index(secrets), index(endpoints)
     out: list[Span] = []

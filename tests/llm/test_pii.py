@@ -116,3 +116,52 @@ def test_nothing_valid_is_left_in_real_texts(spark, sf_dir):
             else:
                 assert m[0] not in after[doc]
     assert checked > 20
+
+
+HOSTILE = ["x@" + "a." * 5000 + "1", "a" * 1_000_000, "1" * 1_000_000, "a." * 500_000, "a@" * 500_000, "1-" * 500_000, "x@" + "a-" * 500_000, "1 " * 500_000, "AB12" * 250_000, "1/" * 500_000]
+
+
+def test_hostile_texts_take_seconds(spark):
+    """A megabyte of each form, and the host that took the thread's stack."""
+    import time
+
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(HOSTILE)], "doc_id long, text string").repartition(8)
+    began = time.perf_counter()
+    got = {r["doc_id"]: r["text"] for r in P.pseudonymised(df, "k", "doc_id").collect()}
+    assert time.perf_counter() - began < 60
+    assert all(got[k] == t for k, t in enumerate(HOSTILE))
+
+
+def test_dates_of_one_form_stay_apart(spark):
+    """One to one within each order and number of digits, whatever the form."""
+    import datetime as dt
+
+    forms = set()
+    for n in range(0, 1500):
+        day = dt.date(2019, 1, 1) + dt.timedelta(days=n)
+        for month in {f"{day.month}", f"{day.month:02}"}:
+            for of_month in {f"{day.day}", f"{day.day:02}"}:
+                forms.add(f"{month}/{of_month}/{day.year}")
+                if day.day > 12:
+                    forms.add(f"{of_month}/{month}/{day.year}")
+        forms.add(day.isoformat())
+    listed = sorted(forms)
+    df = spark.createDataFrame([(t, t) for t in listed], "doc_id string, text string").repartition(8)
+    got = {r["doc_id"]: r["text"] for r in P.pseudonymised(df, "k", "doc_id").collect()}
+    assert len(set(got.values())) == len(listed)
+
+    def form(text):
+        if "-" in text:
+            return "iso"
+        a, b, _ = text.split("/")
+        return ("month first" if int(a) <= 12 else "day first", len(a), len(b))
+
+    for old, new in got.items():
+        assert form(old) == form(new) and len(old) == len(new)
+        dt.date.fromisoformat(new) if "-" in new else dt.datetime.strptime(new, "%m/%d/%Y" if form(new)[0] == "month first" else "%d/%m/%Y")
+
+
+def test_octets_with_leading_zeros_are_no_address(spark):
+    df = spark.createDataFrame([(1, "010.0.0.1 and 10.0.0.1")], "doc_id long, text string")
+    text = P.pseudonymised(df, "k", "doc_id").first()["text"]
+    assert text.startswith("010.0.0.1 and ") and not text.endswith(" 10.0.0.1")

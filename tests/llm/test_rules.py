@@ -70,3 +70,14 @@ def test_verdicts_follow_labels(spark, sf_dir):
     both = R.judged(docs, "doc_id").select("doc_id", "base_failed", "kept").toPandas().merge(labels.toPandas(), on="doc_id")
     good = both[(both.quality == 1) & ~both.base_failed]
     assert good.kept.mean() > 0.99 and both[both.quality == 0].kept.mean() < 0.1
+
+
+def test_hostile_texts_take_seconds(spark):
+    """A megabyte of each form in one line."""
+    import time
+
+    forms = ["!", "!!a", "a-", "a.", "a", "1-", "|a", "'", ". ", "copyright ", "#", "log in"]
+    df = spark.createDataFrame([(k, f * (1_000_000 // len(f))) for k, f in enumerate(forms)], "doc_id long, text string").repartition(8)
+    began = time.perf_counter()
+    assert len(R.judged(df, "doc_id").drop("clean_text").collect()) == len(forms)
+    assert time.perf_counter() - began < 60

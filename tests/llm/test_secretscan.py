@@ -25,6 +25,35 @@ def test_base_equals_plain(parts):
     assert sorted(S.base_spans(text)) == sorted(plain(text))
 
 
+# The endpoints in one pattern, which is quadratic on long runs.
+ENDPOINT = re.compile(r"""(?<![A-Za-z0-9])(?:[a-z][a-z0-9+.-]*://[^\s"'<>]+|(?:[a-z0-9-]+\.)+[a-z]{2,}:\d{2,5}(?!\d))""", re.I | re.A)
+
+
+@settings(max_examples=2000, deadline=None)
+@given(st.lists(st.sampled_from([*"ab1-.:/+ 80", "://", ":80", "a.bc:443", "http://", "é"]), max_size=24))
+def test_endpoints_equal_the_pattern(parts):
+    text = "".join(parts)
+    assert S.endpoints_of(text) == [m.span() for m in ENDPOINT.finditer(text)]
+
+
+def test_credentials_in_an_endpoint():
+    text = f"db postgres://admin:{KEY}@db.example.com:5432/x here"
+    assert linked(text) == ["admin", KEY, "db.example.com:5432/x"]
+    assert linked(f"https://api.example.com/v1?key={KEY}") == ["https://api.example.com/v1", KEY]
+    assert linked(f"redis://:{KEY}@cache.local/0") == [KEY, "cache.local/0"]
+    assert linked("https://api.example.com/a@b?page=2") == [] == linked("ftp://bob@files.example.com/x")
+
+
+def test_hostile_texts_take_seconds():
+    import time
+
+    for form in ("a-", "a.", "a", "1-", "0", "://", "a.b:80", "user=", "x://a:", "A1b2C3d4E5f6G7h8J9k0 ", "token" + " " * 50):
+        text = form * (1_000_000 // len(form)) + " user=abc"
+        began = time.perf_counter()
+        S.linked_spans(text, S.base_spans(text))
+        assert time.perf_counter() - began < 10, form
+
+
 ID, KEY, PLACE = "user=alice42", "Zx81kQpL93mNv02Rt7Yb", "https://db.example.org/x"
 
 
@@ -56,7 +85,7 @@ def test_linking_equals_all_pairs(parts):
     strong = [(s, e) for _, s, e in base]
     free = lambda m: not any(m[0] < e and m[1] > s for s, e in strong)
     ids = [m.span(1) for m in S.IDENTIFIER.finditer(text)]
-    ends = [m.span() for m in S.ENDPOINT.finditer(text)]
+    ends = [m.span() for m in ENDPOINT.finditer(text)]
     weak = [m.span() for m in S.BARE_SECRET.finditer(text) if free(m.span()) and m[0] == KEY and not any(s < m.end() and m.start() < e for s, e in ends)]
     weak = [w for w in weak if w not in ids]
     keys = weak + [(s, e) for k, s, e in base if k in ("assign", "hex") and (s, e) not in ids]
