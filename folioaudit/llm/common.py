@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import math
 import os
+import sys
 import tempfile
+import threading
+import time
+import weakref
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
@@ -23,21 +29,60 @@ SPACE_PATTERN = "[ \\t-\\r]+"
 # Broadcast sides may hold this many narrow rows; beyond it they are shuffled.
 BROADCAST_ROWS = 200_000
 
+# A worker without a task for so long gives its table back.
+IDLE_SECONDS = 2.0
+
 _shipped: set[str] = set()
 _kept: dict[object, object] = {}
+_lock = threading.RLock()
+_used = 0.0
 
 
 def kept(name: object, make: Callable[[], object], full: Callable[[object], bool]) -> object:
     """A Python worker's table of words, kept from task to task until it is full.
 
-    Workers outlive a stage: only one table is held, so that the operators of
-    a pipeline don't add theirs up.
+    Workers outlive a stage: only one table is held, and none by a worker that
+    has had nothing to do for ``IDLE_SECONDS``, so that the operators of a
+    pipeline don't add theirs up.
     """
-    if name not in _kept or full(_kept[name]):
-        _kept.clear()
-        gc.collect()
-        _kept[name] = make()
-    return _kept[name]
+    global _used
+    with _lock:
+        if name not in _kept or full(_kept[name]):
+            _kept.clear()
+            _given_back()
+            _kept[name] = make()
+            threading.Thread(target=_watch, args=(_kept[name],), daemon=True).start()
+        _used = time.monotonic()
+        return _kept[name]
+
+
+def _given_back() -> None:
+    """Return freed memory to the system: allocators would hold it for the worker's life."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def _watch(table: object) -> None:
+    """Let go of ``table`` once no task holds it or has asked for it for a while."""
+    names = 3  # this function's, the dictionary's and the call's own
+    held = weakref.ref(table) if hasattr(type(table), "__weakref__") else None
+    if held is None:
+        return
+    del table
+    while True:
+        time.sleep(IDLE_SECONDS / 2)
+        with _lock:
+            found = held()
+            if found is None or all(found is not x for x in _kept.values()):
+                return
+            if time.monotonic() - _used > IDLE_SECONDS and sys.getrefcount(found) <= names:
+                del found
+                _kept.clear()
+                _given_back()
+                return
+            del found
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
