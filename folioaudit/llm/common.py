@@ -51,7 +51,7 @@ def kept(name: object, make: Callable[[], object], full: Callable[[object], bool
             _kept.clear()
             _given_back()
             _kept[name] = make()
-            threading.Thread(target=_watch, args=(_kept[name],), daemon=True).start()
+            threading.Thread(target=_watch, args=(weakref.ref(_kept[name]),), daemon=True).start()
         _used = time.monotonic()
         return _kept[name]
 
@@ -64,13 +64,9 @@ def _given_back() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-def _watch(table: object) -> None:
-    """Let go of ``table`` once no task holds it or has asked for it for a while."""
+def _watch(held: weakref.ref) -> None:
+    """Let go of a table once no task holds it or has asked for it for a while."""
     names = 3  # this function's, the dictionary's and the call's own
-    held = weakref.ref(table) if hasattr(type(table), "__weakref__") else None
-    if held is None:
-        return
-    del table
     while True:
         time.sleep(IDLE_SECONDS / 2)
         with _lock:
