@@ -18,6 +18,9 @@ class AuditOptions:
     # named by their path; copies by their code, and the newest file counts.
     landed_folder: str | None = None
     capital_folder: str | None = None
+    # Ledger of the copies that runs took, so that no later run takes them
+    # again; created on first use. None keeps no ledger.
+    seen_files_table: str | None = None
     lookback_days: int = 30
     # Zero or less means no limit.
     row_limit: int = 240

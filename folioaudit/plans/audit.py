@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import AuditOptions
+from ..functions.keys import capital_key
 from ..operators import candidates as C
 from ..operators.diagnostics import diagnostics
 from ..operators.joins import lookup
 from ..operators.landing import acquire, clean_metadata, distinct_links, extract_fields
-from ..operators.status import outcomes, result_rows
+from ..operators.status import REJECTED, RETURNED, outcomes, result_rows
 from ..operators.verification import compare, verify, with_request
 from ..session import scratch, stored
 from ..sources import tables as S
@@ -55,11 +56,15 @@ def landed_documents(spark: SparkSession, options: AuditOptions) -> DataFrame:
     return landed
 
 
-def issuer_responses(spark: SparkSession, options: AuditOptions) -> DataFrame:
-    """The response table, and the newest downloaded copies of one issuer."""
+# The issuer whose copies are downloaded as files.
+FILE_ISSUER = "capital"
+
+
+def issuer_responses(spark: SparkSession, options: AuditOptions, seen: DataFrame | None = None) -> DataFrame:
+    """The response table, and the newest downloaded copies of one issuer that no run has ``seen``."""
     responses = S.scan(spark, options.responses_table)
     if options.capital_folder:
-        copies = S.read_copy_files(spark, options.capital_folder, "capital")
+        copies = S.read_copy_files(spark, options.capital_folder, FILE_ISSUER, seen)
         responses = responses.unionByName(copies, allowMissingColumns=True)
     return responses
 
@@ -87,12 +92,31 @@ def run(spark: SparkSession, options: AuditOptions) -> int:
         )
         if ids is not None:
             batch = held.store(C.pending(batch, ids))
-        results = audit(batch, landed_documents(spark, options), issuer_responses(spark, options), options.processed_at, held.store, options.bucketed)
+        seen = S.seen_files(spark, options.seen_files_table)
+        if seen is not None:
+            seen = held.store(seen.distinct())  # fixed: the ledger grows at the end
+        responses = issuer_responses(spark, options, seen)
+        results = audit(batch, landed_documents(spark, options), responses, options.processed_at, held.store, options.bucketed)
+        keeps_ledger = bool(options.capital_folder and options.seen_files_table)
+        if keeps_ledger:
+            results = held.store(results)
         counts = S.append_results(results, options.target_table, options.table_format)
+        if keeps_ledger:
+            # Behind the append: a run that ends between the two takes a file
+            # again, for other documents, rather than losing it.
+            S.remember_files(taken_copies(spark, options, results, seen), options.seen_files_table, options.table_format)
     LOGGER.info("appended to %s: %s", options.target_table, counts)
     return counts["rows"]
 
 
+def taken_copies(spark: SparkSession, options: AuditOptions, results: DataFrame, seen: DataFrame | None) -> DataFrame:
+    """The downloaded files that documents of ``results`` asked for: ``path, request_key``."""
+    files = S.newest_copies(S.read_landed_files(spark, options.capital_folder), seen)
+    asked = results.filter((F.col("AFP") == FILE_ISSUER) & F.col("RES_AFP").isin(RETURNED, REJECTED))
+    asked = asked.select(capital_key(F.col("RUT"), F.col("CODVER")).alias("request_key")).distinct()
+    return files.join(asked, "request_key", "left_semi").select("path", "request_key")
+
+
 def diagnose(spark: SparkSession, options: AuditOptions) -> DataFrame:
     """The counts that explain an empty batch, as one row."""
     source = S.scan(spark, options.source_table)

@@ -87,16 +87,23 @@ def read_landed_files(spark: SparkSession, path: str, glob: str = "*") -> DataFr
     )
 
 
-def read_copy_files(spark: SparkSession, path: str, afp: str) -> DataFrame:
-    """A folder of downloaded copies as issuer responses: the newest file per code.
+def newest_copies(files: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """``path, modificationTime, request_key``: the newest landed file per code among those not ``seen``.
 
-    A file's name up to its first dot, dashes read as colons, is the request
-    key. Files still being downloaded don't count.
+    A file's name up to its first dot, dashes read as colons, is the request key.
     """
-    files = read_landed_files(spark, path)
     code = F.replace(F.regexp_extract("link", r"([^/.]+)[^/]*$", 1), F.lit("-"), F.lit(":"))
     keyed = files.select(F.col("link").alias("path"), F.col("landed_at").alias("modificationTime"), code.alias("request_key"))
-    newest = newest_files(keyed, None, "request_key")
+    return newest_files(keyed, seen, "request_key")
+
+
+def read_copy_files(spark: SparkSession, path: str, afp: str, seen: DataFrame | None = None) -> DataFrame:
+    """A folder of downloaded copies as issuer responses: the newest file per code.
+
+    Files still being downloaded don't count, nor do those that were ``seen``.
+    """
+    files = read_landed_files(spark, path)
+    newest = newest_copies(files, seen)
     found = newest.join(files, (F.col("path") == F.col("link")) & (F.col("modificationTime") == F.col("landed_at")))
     return found.select(
         F.lit(afp).alias("afp"),
@@ -108,6 +115,24 @@ def read_copy_files(spark: SparkSession, path: str, afp: str) -> DataFrame:
     )
 
 
+def seen_files(spark: SparkSession, table: str | None) -> DataFrame | None:
+    """Paths that earlier runs took, or None where no run has kept any."""
+    if table is None or not spark.catalog.tableExists(table):
+        return None
+    spark.catalog.refreshTable(table)
+    return spark.table(table).select("path")
+
+
+def remember_files(taken: DataFrame, table: str, table_format: str = "parquet") -> None:
+    """Add the files that a run took (``path, request_key``) to the ledger; none twice."""
+    known = seen_files(taken.sparkSession, table)
+    fresh = taken.select("path", "request_key").distinct()
+    if known is not None:
+        fresh = fresh.join(known.distinct(), "path", "left_anti")
+    fresh = fresh.withColumn("taken_at", F.current_timestamp())
+    fresh.write.format(table_format).mode("append").saveAsTable(table)
+
+
 def save_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int) -> None:
     """Store landed rows hashed and sorted by key.
 

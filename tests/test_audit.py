@@ -190,6 +190,49 @@ def test_landed_folders_reach_the_result(spark, options, tmp_path):
     assert (row.RES_AFP, row.ES_DIF, row.RES_DIF) == ("ok", True, "- newest")
 
 
+def test_a_copy_is_taken_once(spark, options, tmp_path):
+    """A second run does not take the copy that the first took; a newer one it does."""
+    import os
+
+    other = CAPITAL.replace("AB1CD", "ZZ1CD")
+    texts = {1: CAP, 2: CAP, 3: CAP.replace(CAPITAL, other), 4: CAP}
+
+    def copy(code, name, text, at):
+        path = tmp_path / f"{code}.{name}"
+        path.write_text(text)
+        os.utime(path, (1_700_000_000 + at,) * 2)
+
+    copy(CAPITAL, "a", CAP, 1)
+    landed = [(f"ledger{k}", 200, t, "", "", "", "", NEW) for k, t in texts.items()]
+    spark.createDataFrame(landed, LANDED).createOrReplaceTempView("ledger_landed")
+    spark.table(options.responses_table).filter("afp <> 'capital'").createOrReplaceTempView("ledger_responses")
+    for table in ("ledger_results", "ledger_seen"):
+        spark.sql(f"DROP TABLE IF EXISTS audit_test.{table}")
+    ledger = dataclasses.replace(
+        options, source_table="ledger_source", landed_table="ledger_landed", responses_table="ledger_responses",
+        target_table="audit_test.ledger_results", capital_folder=str(tmp_path), seen_files_table="audit_test.ledger_seen",
+    )
+
+    def audited(*ids):
+        rows = [(k, f"ledger{k}", dt.date(2024, 4, 1), NEW) for k in ids]
+        spark.createDataFrame(rows, "DOC_IDN long, LINK string, PERIODO_PRODUCCION date, FECHA_INGRESO timestamp").createOrReplaceTempView("ledger_source")
+        assert run(spark, ledger) == len(ids)
+        return [r.RES_AFP for r in spark.table(ledger.target_table).filter(F.col("DOC_IDN").isin(*ids)).orderBy("DOC_IDN").collect()]
+
+    # Taken once by a run, for all documents of it that ask; the other code has none.
+    assert audited(1, 3) == ["ok", "error"]
+    assert audited(2) == ["error"]
+    copy(CAPITAL, "b", CAP + "\nnewer", 5)
+    copy(other, "c", texts[3], 2)
+    assert audited(4) == ["ok"]
+    seen = sorted(r.path.rsplit(".", 1)[1] for r in spark.table(ledger.seen_files_table).collect())
+    assert seen == ["a", "b"]  # nobody asked for the other code's file
+    # Without a ledger a copy is there for every run.
+    again = dataclasses.replace(ledger, seen_files_table=None, filter_already_processed=False)
+    assert run(spark, again) == 1
+    assert {r.RES_AFP for r in spark.table(ledger.target_table).filter("DOC_IDN = 4").collect()} == {"ok"}
+
+
 def test_nothing_recent_makes_no_table(spark, options):
     late = dataclasses.replace(options, target_table="audit_test.never", as_of=dt.date(2030, 1, 1))
     assert run(spark, late) == 0
