@@ -38,10 +38,10 @@ def parse(body: Column) -> Column:
         whole = (F.try_variant_get(found, "$[1]", "string") == digest) & _field(found, "$[2]").isNull()
         return F.when(whole, _field(found, "$[0]"))
 
-    return _bound(F.sha2(body, 256), lambda digest: _bound(listed(digest), lambda found: checked(found, digest)))
+    return bound(F.sha2(body, 256), lambda digest: bound(listed(digest), lambda found: checked(found, digest)))
 
 
-def _bound(value: Column, then: Callable[[Column], Column]) -> Column:
+def bound(value: Column, then: Callable[[Column], Column]) -> Column:
     """``then`` of a value that is worked out once, however often ``then`` names it."""
     return F.get(F.transform(F.array(value), then), F.lit(0))
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import stored
+
 
 def _as_long(df: DataFrame, name: str) -> Column:
     if isinstance(df.schema[name].dataType, T.IntegralType):
@@ -85,12 +87,100 @@ def already_processed(df: DataFrame, ids: DataFrame) -> DataFrame:
     return _keyed(df).join(_known(ids), _KEY, "inner").drop(_KEY)
 
 
-def first_by_id(df: DataFrame, row_limit: int) -> DataFrame:
-    """Lowest ids first, at most ``row_limit`` rows; no limit when it is <= 0."""
+# Further keys make the choice among copies of an id repeatable.
+_ORDER = ("doc_idn", "fecha_ingreso", "link", "periodo_produccion")
+
+# A task may order this many rows; what a cut falls into is narrowed down to them.
+ORDERED_ROWS = 50_000
+# Marks that split the open range in parts of like size, and how exact they are.
+_MARKS, _ACCURACY = 500, 20_000
+
+
+def first_by_id(df: DataFrame, row_limit: int, ordered_rows: int = ORDERED_ROWS) -> DataFrame:
+    """Lowest ids first, at most ``row_limit`` rows; no limit when it is <= 0.
+
+    A selection, not a sort, alike for every limit. Marks of the open id range
+    are taken, the rows below and between the two marks around the wanted place
+    are counted, and the range between them is opened next, until a task can
+    order what is left in it. All rows below it belong to the result as they
+    are. Each step is one aggregate, and its id range reaches the scan. ``df``
+    is read several times: its rows must be repeatable.
+    """
     if row_limit <= 0:
         return df
-    # Further keys make the choice among copies of an id repeatable.
-    return df.orderBy("doc_idn", "fecha_ingreso", "link", "periodo_produccion").limit(row_limit)
+    id_ = F.col("doc_idn")
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(id_.isNull()).alias("nulls"), _marks(id_)).first()
+    if found.n <= row_limit:
+        return df
+    if found.n <= ordered_rows:
+        return _ordered(df, row_limit)
+    if found.nulls >= row_limit:
+        return _cut(df.filter(id_.isNull()), row_limit, found.nulls, ordered_rows)
+    wanted, inside, marks = row_limit - found.nulls, found.n - found.nulls, found.marks
+    low, high, margin = marks[0], marks[-1], 1
+    while inside > ordered_rows and low < high:
+        around = _around(marks, wanted / inside, margin)
+        if around == (low, high):
+            break  # few ids hold nearly all rows
+        within = id_ >= around[0]
+        part = df.filter(id_.between(low, around[1])).agg(
+            F.count_if(~within).alias("below"), F.count_if(within).alias("n"), _marks(F.when(within, id_))
+        ).first()
+        if part.below >= wanted or part.below + part.n < wanted:
+            margin *= 4  # marks are estimates, counts are not
+            continue
+        (low, high), margin = around, 1
+        wanted, inside, marks = wanted - part.below, part.n, part.marks
+    below = df.filter(id_.isNull() | (id_ < low))
+    return below.unionByName(_cut(df.filter(id_.between(low, high)), wanted, inside, ordered_rows))
+
+
+def _marks(ids: Column) -> Column:
+    places = [n / _MARKS for n in range(_MARKS + 1)]
+    return F.percentile_approx(ids, places, _ACCURACY).alias("marks")
+
+
+def _around(marks: list[int], place: float, margin: int) -> tuple[int, int]:
+    """The marks ``margin`` steps before and behind a place between 0 and 1."""
+    step = int(place * _MARKS)
+    return marks[max(step - margin, 0)], marks[min(step + 1 + margin, _MARKS)]
+
+
+def _ordered(df: DataFrame, n: int) -> DataFrame:
+    return df.orderBy(*_ORDER).limit(n)
+
+
+def _cut(df: DataFrame, wanted: int, rows: int, ordered_rows: int) -> DataFrame:
+    """The first ``wanted`` of ``rows`` rows, however many copies one id has.
+
+    Equal rows are counted, the rest is dealt out in ranges of the whole order;
+    ranges before the cut are kept, and only the one it falls into is ordered.
+    """
+    if wanted >= rows:
+        return df
+    if rows <= ordered_rows:
+        return _ordered(df, wanted)
+    names = df.columns
+    counted = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies"))
+    ranged = stored(counted.repartitionByRange(*_ORDER).withColumn("_range", F.spark_partition_id()))
+    for size in ranged.groupBy("_range").agg(F.sum("_copies").alias("n")).orderBy("_range").collect():
+        if size.n >= wanted:
+            break
+        wanted -= size.n
+    before = F.sum("_copies").over(
+        Window.partitionBy("_range").orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    last = ranged.filter(F.col("_range") == size._range).withColumn("_left", F.lit(wanted) - F.coalesce(before, F.lit(0)))
+    last = last.filter(F.col("_left") > 0).withColumn("_copies", F.least("_copies", "_left")).drop("_left")
+    return _repeated(ranged.filter(F.col("_range") < size._range).unionByName(last)).select(*names)
+
+
+def _repeated(df: DataFrame, block: int = 4096) -> DataFrame:
+    """Each row ``_copies`` times, by lists of at most ``block`` numbers, or their number."""
+    copies = F.col("_copies")
+    blocks = df.withColumn("_block", F.explode(F.sequence(F.lit(0), F.floor((copies - 1) / block))))
+    size = F.least(F.lit(block), copies - F.col("_block") * block)
+    return blocks.withColumn("_copy", F.explode(F.sequence(F.lit(1), size)))
 
 
 def candidates(source: DataFrame, ids: DataFrame | None, cutoff: dt.date, row_limit: int) -> DataFrame:

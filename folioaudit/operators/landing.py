@@ -24,16 +24,17 @@ def newest_landed(landed: DataFrame, columns: Sequence[str] = LANDED_COLUMNS) ->
 
 
 def acquire(links: DataFrame, landed: DataFrame, bucketed: bool = False) -> DataFrame:
-    """Landed content per address, with ``obtained``; content is NULL without it.
+    """Landed content per address, with ``landed`` and ``obtained``; content is NULL unless obtained.
 
     Rows of other addresses are dropped before versions are compared.
     ``bucketed``: the landed rows are stored in buckets of their address.
     """
     found = newest_landed(only_keys(landed, links, LANDED_KEY, bucketed))
-    joined = links.join(found, "link", "left")
+    joined = links.join(found.withColumn("landed", F.lit(True)), "link", "left")
     obtained = http_ok(F.col("http_status"))
     content = [F.when(obtained, F.col(c)).alias(c) for c in LANDED_COLUMNS if c != "http_status"]
-    return joined.select("link", obtained.alias("obtained"), *content)
+    landed_ = F.coalesce("landed", F.lit(False))
+    return joined.select("link", landed_.alias("landed"), obtained.alias("obtained"), *content)
 
 
 def clean_metadata(docs: DataFrame) -> DataFrame:

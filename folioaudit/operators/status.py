@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .reasons import outcome_reason
+
 # Fixed values of RES_AFP; an outcome that needs no issuer is ''.
 NOT_OBTAINED = "error_origen"
 REJECTED = "error"
@@ -41,11 +43,15 @@ def outcomes(docs: DataFrame) -> DataFrame:
         status.alias("res_afp"),
         "es_dif",
         F.coalesce("res_dif", F.lit("")).alias("res_dif"),
+        outcome_reason().alias("reason"),
     )
 
 
-def result_rows(joined: DataFrame, processed_at: dt.datetime | None = None) -> DataFrame:
-    """Result columns with their defaults: ``''`` for text, NULL for unknown truth."""
+def result_rows(joined: DataFrame, processed_at: dt.datetime | None = None, reasons: bool = False) -> DataFrame:
+    """Result columns with their defaults: ``''`` for text, NULL for unknown truth.
+
+    ``reasons`` adds the column ``REASON``.
+    """
     text = lambda name: F.coalesce(F.col(name), F.lit(""))
     # As text, a time without a zone is read in the session's zone.
     now = F.current_timestamp() if processed_at is None else F.lit(processed_at.isoformat(" ")).cast("timestamp")
@@ -69,4 +75,5 @@ def result_rows(joined: DataFrame, processed_at: dt.datetime | None = None) -> D
         F.col("es_dif").alias("ES_DIF"),
         text("res_dif").alias("RES_DIF"),
         now.alias("FECHA_PROCESO"),
+        *([F.coalesce("reason", F.lit("no_link")).alias("REASON")] if reasons else []),
     )

@@ -14,16 +14,18 @@ from ..functions.rules import ISSUERS, SITE, SITE_ISSUER
 from ..schema import LANDED_KEY, RESPONSE_COLUMNS, RESPONSE_KEY, LANDED_AT
 from .joins import lookup, newest_by_key, only_keys
 from .landing import newest_landed
+from .reasons import document_reason, first_of
 
 
 def with_request(docs: DataFrame) -> DataFrame:
-    """Add ``gated`` and the ``request_key`` of gated documents.
+    """Add ``document_reason``, ``gated`` and the ``request_key`` of gated documents.
 
     Text is dropped where no comparison will follow, so it is not shuffled.
     """
     docs = docs.select(
         "*",
         required_fields(F.col("es_cert_cot"), F.col("afp"), F.col("rut"), F.col("codver")).alias("gated"),
+        document_reason().alias("document_reason"),
     )
     gated = F.col("gated")
     docs = docs.withColumn("text", F.when(gated, F.col("text")))
@@ -37,18 +39,19 @@ def newest_responses(responses: DataFrame) -> DataFrame:
 
 
 def direct_copies(responses: DataFrame) -> DataFrame:
-    """Copies that came with the response itself; NULL text where rejected."""
+    """Copies that came with the response itself; NULL text and a reason where rejected."""
     afp, body, text = F.col("afp"), F.col("body"), F.col("document_text")
     others = responses.filter(afp.isin(*[a for a in ISSUERS if a != SITE_ISSUER]))
     newest = newest_responses(others)
     in_json = afp.isin("uno", "planvital")
     parsed = newest.withColumn("json", F.when(in_json & P.http_ok(F.col("http_status")), P.parse(body)))
     json = F.col("json")
-    read = parsed.withColumn(
+    judged = parsed.withColumn(
+        "accepted", F.when(afp == "uno", P.uno_accepts(json)).when(afp == "planvital", P.planvital_accepts(json))
+    )
+    read = judged.withColumn(
         "payload",
-        F.when((afp == "uno") & P.uno_accepts(json), P.uno_payload(json, body)).when(
-            (afp == "planvital") & P.planvital_accepts(json), P.planvital_payload(json, body)
-        ),
+        F.when(F.col("accepted"), F.when(afp == "uno", P.uno_payload(json, body)).otherwise(P.planvital_payload(json, body))),
     )
     decoded = read.withColumn("decoded", P.decode_base64(F.col("payload")))
     content = F.col("decoded")
@@ -60,9 +63,16 @@ def direct_copies(responses: DataFrame) -> DataFrame:
         .when(afp == "provida", F.when(P.provida_accepts(body), text))
         .otherwise(plain)
     )
-    return decoded.select(
-        "afp", "request_key", F.when(P.http_ok(F.col("http_status")), copy).alias("copy_text")
+    copied = decoded.withColumn("copy_text", F.when(P.http_ok(F.col("http_status")), copy))
+    reason = first_of(
+        response_status=~P.http_ok(F.col("http_status")),
+        malformed_answer=in_json & json.isNull(),
+        refused=~F.col("accepted"),
+        empty_answer=(afp == "provida") & ~P.provida_accepts(body),
+        malformed_payload=in_json & content.isNull(),
+        unreadable_copy=F.col("copy_text").isNull(),
     )
+    return copied.select("afp", "request_key", "copy_text", reason.alias("copy_reason"))
 
 
 def followed_copies(responses: DataFrame, landed: DataFrame) -> DataFrame:
@@ -72,26 +82,32 @@ def followed_copies(responses: DataFrame, landed: DataFrame) -> DataFrame:
     scan of the landed documents.
     """
     newest = newest_responses(responses.filter(F.col("afp") == SITE_ISSUER))
-    parsed = newest.withColumn(
-        "json", F.when(P.http_ok(F.col("http_status")), P.parse(F.col("body")))
-    )
-    json = F.col("json")
-    named = parsed.select(
-        "afp",
-        "request_key",
-        F.when(P.habitat_accepts(json), F.concat(F.lit(SITE), P.habitat_path(json))).alias("url"),
-    )
+    answered = P.http_ok(F.col("http_status"))
+
+    def verdict(json: Column) -> Column:
+        accepts, path = P.habitat_accepts(json), P.habitat_path(json)
+        reason = first_of(response_status=~answered, malformed_answer=json.isNull(), refused=~accepts, no_copy_path=path.isNull())
+        return F.struct(F.when(accepts, F.concat(F.lit(SITE), path)).alias("url"), reason.alias("answer_reason"))
+
+    # One expression: the planner copies it into filters, where a chain of
+    # columns would be written out once per use.
+    named = newest.select(
+        "afp", "request_key", P.bound(F.when(answered, P.parse(F.col("body"))), verdict).alias("verdict")
+    ).select("afp", "request_key", "verdict.*")
     on_site = landed.filter(F.col("link").startswith(SITE))
     wanted = named.select(F.col("url").alias("link")).filter(F.col("link").isNotNull())
     content = newest_landed(only_keys(on_site, wanted, LANDED_KEY), ("http_status", "text")).select(
-        "link", F.when(P.http_ok(F.col("http_status")), F.col("text")).alias("copy_text")
+        "link", P.http_ok(F.col("http_status")).alias("fetched"), F.when(P.http_ok(F.col("http_status")), F.col("text")).alias("copy_text")
     )
     found = lookup(named, content, F.col("url"), F.col("link"), F.col("request_key"))
-    return found.select("afp", "request_key", "copy_text")
+    copy_reason = first_of(
+        copy_not_landed=F.col("link").isNull(), copy_status=~F.col("fetched"), unreadable_copy=F.col("copy_text").isNull()
+    )
+    return found.select("afp", "request_key", "copy_text", F.coalesce("answer_reason", copy_reason).alias("copy_reason"))
 
 
 def issuer_copies(responses: DataFrame, landed: DataFrame) -> DataFrame:
-    """One folded copy per request; NULL text means the request failed."""
+    """One folded copy per request; NULL text means the request failed, for ``copy_reason``."""
     copies = direct_copies(responses).unionByName(followed_copies(responses, landed))
     return copies.withColumn("copy_text", fold(F.col("copy_text")))
 
@@ -109,7 +125,7 @@ def verify(docs: DataFrame, responses: DataFrame, landed: DataFrame) -> DataFram
     """
     copies = issuer_copies(only_keys(responses, docs, RESPONSE_KEY), landed)
     copies = copies.select(
-        F.col("afp").alias("_afp"), F.col("request_key").alias("_key"), "copy_text"
+        F.col("afp").alias("_afp"), F.col("request_key").alias("_key"), "copy_text", "copy_reason"
     )
     found = lookup(
         docs,

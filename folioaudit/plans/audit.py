@@ -30,6 +30,7 @@ def audit(
     processed_at: dt.datetime | None = None,
     store: Callable[[DataFrame], DataFrame] | None = None,
     bucketed: bool = False,
+    reasons: bool = False,
 ) -> DataFrame:
     """One result row per candidate row.
 
@@ -37,7 +38,8 @@ def audit(
     depend on nothing else. The plan is the same for every number of
     candidates. ``store`` keeps the extracted documents, which are used twice:
     to choose the responses they ask for, and to be compared with them. Unless
-    it is given they are checkpointed. ``bucketed``: see ``acquire``.
+    it is given they are checkpointed. ``bucketed``: see ``acquire``. ``reasons``
+    adds the column ``REASON``.
     """
     store = stored if store is None else store
     docs = acquire(distinct_links(candidates), landed, bucketed)
@@ -45,7 +47,7 @@ def audit(
     checked = outcomes(compare(verify(docs, responses, landed)))
     checked = checked.withColumnRenamed("link", "_link")
     joined = lookup(candidates, checked, F.col("link"), F.col("_link"), F.col("doc_idn"))
-    return result_rows(joined, processed_at)
+    return result_rows(joined, processed_at, reasons)
 
 
 def landed_documents(spark: SparkSession, options: AuditOptions) -> DataFrame:

@@ -60,6 +60,14 @@ CASES = {
 }
 
 
+REASONS = {
+    "absent": "not_landed", "status": "document_status", "unreadable": "unreadable_text", "empty": "not_certificate",
+    "not_certificate": "not_certificate", "no_rut": "no_rut", "unknown_issuer": "unknown_issuer", "modelo": "same",
+    "uno": "different", "planvital": "same", "provida": "empty_answer", "habitat": "different",
+    "cuprum": "unreadable_copy", "capital": "different", "capital_bad": "malformed_code",
+}
+
+
 def tables(spark):
     rows = [(n, link, dt.date(2024, 4, 1), NEW) for n, link in enumerate(CASES)]
     rows += [(100, None, None, NEW), (101, "modelo", None, NEW), (101, "modelo", None, NEW), (None, "modelo", None, NEW)]
@@ -124,6 +132,45 @@ def test_outcomes(spark, as_files, tmp_path):
     assert all(r.RES_DIF == "" for r in got if r.ES_DIF is False)
 
 
+def test_reasons(spark):
+    source, landed, responses = tables(spark)
+    columns = [F.col(c).alias(c.lower()) for c in source.columns]
+    df = audit(source.select(*columns), landed, responses, NOW, reasons=True)
+    assert df.columns == [f.name for f in RESULT_SCHEMA] + ["REASON"]
+    got = {r.DOC_IDN: r.REASON for r in df.collect()}
+    assert {link: got[n] for n, link in enumerate(CASES)} == REASONS
+    assert (got[100], got[101]) == ("no_link", "same")
+
+
+# Issuer, answer (status, body, text) or None, the reason.
+ANSWERS = [
+    ("modelo", None, "no_response"), ("modelo", (500, "file", "x"), "response_status"), ("modelo", (None, "file", "x"), "response_status"),
+    ("uno", (200, "{", None), "malformed_answer"), ("uno", (200, None, None), "malformed_answer"), ("uno", (200, '{"codigo":0}', None), "refused"),
+    ("uno", (200, '{"codigo":"0","data":{"bytes":"A"}}', None), "malformed_payload"), ("uno", (200, '{"codigo":"0","data":1}', None), "malformed_payload"),
+    ("planvital", (200, '{"valid":1,"data":"/w=="}', None), "unreadable_copy"), ("planvital", (200, '{"valid":1}', None), "different"),
+    ("provida", (200, None, "x"), "empty_answer"), ("provida", (200, "file", None), "unreadable_copy"),
+    ("habitat", (200, "[", None), "malformed_answer"), ("habitat", (200, '{"resultado":1}', None), "refused"),
+    ("habitat", (200, '{"resultado":0,"mensaje":5}', None), "no_copy_path"), ("habitat", (200, '{"resultado":0,"mensaje":"/none"}', None), "copy_not_landed"),
+    ("habitat", (200, '{"resultado":0,"mensaje":"/gone"}', None), "copy_status"), ("habitat", (200, '{"resultado":0,"mensaje":"/raw"}', None), "unreadable_copy"),
+]
+
+
+def test_reasons_of_answers(spark):
+    code = {"modelo": "Folio: abc{}", "uno": "Certificación N: u{}", "planvital": "Folio 12-{}", "provida": "certificado: 1.{}",
+            "habitat": "codigo 00000001-aaaa-bbbb-cccc-{:012d}"}
+    key = {"modelo": "1.234.567-8:abc{}", "uno": "12345678:u{}", "planvital": "12{}:12345678", "provida": "1{}-12345678",
+           "habitat": "00000001-aaaa-bbbb-cccc-{:012d}"}
+    batch = [(n, f"a{n}", None, NEW) for n in range(len(ANSWERS))]
+    landed = [(f"a{n}", 200, paper(a, code[a].format(n)), None, None, None, None, NEW) for n, (a, _, _) in enumerate(ANSWERS)]
+    landed += [(f"https://www.afphabitat.cl/{p}", s, None, None, None, None, None, NEW) for p, s in (("gone", 404), ("raw", 200))]
+    answers = [(a, key[a].format(n), *v, NEW) for n, (a, v, _) in enumerate(ANSWERS) if v]
+    df = audit(spark.createDataFrame(batch, "doc_idn long, link string, periodo_produccion date, fecha_ingreso timestamp"),
+               spark.createDataFrame(landed, LANDED), spark.createDataFrame(answers, RESPONSES), NOW, reasons=True)
+    got = {r.DOC_IDN: (r.REASON, r.RES_AFP) for r in df.collect()}
+    for n, (_, _, reason) in enumerate(ANSWERS):
+        assert got[n] == (reason, "ok" if reason == "different" else "error"), ANSWERS[n]
+
+
 def test_run_and_rerun(spark, options):
     spark.sql("DROP TABLE IF EXISTS audit_test.results")
     # All but the row without an id; both copies of a repeated id.

@@ -63,6 +63,34 @@ def test_first_by_id(spark):
         assert ids_of(C.first_by_id(df, none)) == [1, 3, 3, 5, 9]
 
 
+def test_selection_equals_sorting(spark):
+    """Every limit against a plain sort: an id with a third of all rows, NULL ids, equal rows, gaps."""
+    at = lambda n: dt.datetime(2024, 5, 1) + dt.timedelta(minutes=n)
+    rows = [(n * n * 37 % 100_003, at(n % 7), f"l{n % 11}", None) for n in range(1500)]
+    rows += [(40_000, at(n % 5), f"l{n % 40}", dt.date(2024, 1, 1 + n % 3)) for n in range(900)]
+    rows += [(None, None, f"l{n % 3}", None) for n in range(120)] + [(-5, at(1), None, None)] * 300
+    df = spark.createDataFrame(rows, "doc_idn long, fecha_ingreso timestamp, link string, periodo_produccion date").repartition(5).cache()
+    first = lambda v: (v is not None, v)
+    key = lambda r: (*first(r[0]), *first(r[1] and r[1].timestamp()), *first(r[2]), *first(r[3] and str(r[3])))
+    wanted = sorted(rows, key=key)
+    for limit in (1, 60, 120, 121, 250, 420, 421, 1000, 1400, 2000, len(rows) - 1, len(rows), len(rows) + 1):
+        got = sorted((tuple(r) for r in C.first_by_id(df, limit, ordered_rows=50).collect()), key=key)
+        assert got == wanted[:limit], limit
+    assert C.first_by_id(df.filter("false"), 3, ordered_rows=1).count() == 0
+    df.unpersist()
+
+
+def test_selection_orders_a_small_part_only(spark):
+    df = C.normalize(
+        spark.range(200_000).selectExpr("id * 3 AS doc_idn", "'l' AS link", "NULL AS periodo_produccion", "timestamp '2024-05-01' AS fecha_ingreso")
+        .withColumnRenamed("doc_idn", "DOC_IDN")
+    )
+    cut = C.first_by_id(df, 150_000)
+    text = cut._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in text  # rows below the open range are taken unsorted
+    assert cut.agg({"doc_idn": "max"}).first()[0] == 149_999 * 3 and cut.count() == 150_000
+
+
 def source(spark):
     recent, old = dt.datetime(2024, 5, 9), dt.datetime(2020, 1, 1)
     rows = [(1, recent), (1, recent), (2, recent), (None, recent), (3, old), (1, old), (None, old), (4, None)]

@@ -11,6 +11,8 @@ import datetime as dt
 import re
 
 AS_OF = dt.date(2001, 8, 1)
+# A limit above the rows that one task is let order.
+LARGE_LIMIT, ORDERED_ROWS = 7_000, 500
 PROCESSED_AT = dt.datetime(2001, 8, 2, 12, 0, 0)
 PROCESSED_BEFORE = "TIMESTAMP '2000-01-01 00:00:00'"
 

@@ -325,6 +325,40 @@ def _audit(base: str, where: str, tail: str = "", select: str | None = None) ->
     return f"{_with(base, *parts)} {select or 'SELECT * FROM result'}"
 
 
+def _reasons(base: str) -> str:
+    """Why each document has its outcome, decided from the tables step by step."""
+    issuers = ", ".join(map(_literal, _RULES))
+    return f"""{_with(base, _SOURCE, _DOCS, _COPIES, _AUDITED)}
+    SELECT b.doc_idn AS DOC_IDN, b.link AS LINK, coalesce(o.afp, '') AS AFP, coalesce(o.res_afp, 'error_origen') AS RES_AFP,
+      CASE WHEN b.link IS NULL THEN 'no_link'
+      WHEN l.link IS NULL THEN 'not_landed'
+      WHEN l.http_status IS DISTINCT FROM 200 THEN 'document_status'
+      WHEN l.text IS NULL THEN 'unreadable_text'
+      WHEN NOT o.es_cert_cot THEN 'not_certificate'
+      WHEN o.afp = '' THEN 'no_issuer'
+      WHEN o.afp NOT IN ({issuers}) THEN 'unknown_issuer'
+      WHEN o.rut = '' THEN 'no_rut'
+      WHEN o.codver = '' THEN 'no_code'
+      WHEN o.request_key IS NULL THEN 'malformed_code'
+      WHEN r.afp IS NULL THEN 'no_response'
+      WHEN r.http_status IS DISTINCT FROM 200 THEN 'response_status'
+      WHEN r.afp IN ('habitat', 'uno', 'planvital') AND j IS NULL THEN 'malformed_answer'
+      WHEN (r.afp = 'habitat' AND NOT {_HABITAT_OK}) OR (r.afp = 'uno' AND NOT {_UNO_OK})
+        OR (r.afp = 'planvital' AND NOT {_PLANVITAL_OK}) THEN 'refused'
+      WHEN r.afp = 'provida' AND length(r.body) = 0 THEN 'empty_answer'
+      WHEN r.afp = 'habitat' AND judged.url IS NULL THEN 'no_copy_path'
+      WHEN r.afp = 'habitat' AND site.link IS NULL THEN 'copy_not_landed'
+      WHEN r.afp = 'habitat' AND site.http_status IS DISTINCT FROM 200 THEN 'copy_status'
+      WHEN r.afp IN ('uno', 'planvital') AND ({_DECODED}) IS NULL THEN 'malformed_payload'
+      WHEN o.copy_text IS NULL THEN 'unreadable_copy'
+      WHEN o.copy_text <> o.text THEN 'different' ELSE 'same' END AS REASON
+    FROM source b LEFT JOIN landed l ON b.link = l.link LEFT JOIN outcome o ON b.link = o.link
+      LEFT JOIN (SELECT afp, request_key, http_status, body FROM answers) r ON o.afp = r.afp AND o.request_key = r.request_key
+      LEFT JOIN (SELECT afp, request_key, url, payload, j FROM judged) judged ON o.afp = judged.afp AND o.request_key = judged.request_key
+      LEFT JOIN landed site ON judged.url = site.link
+    WHERE b.doc_idn IS NOT NULL"""
+
+
 def _diagnostics(select: str) -> str:
     return _source(f"{select} FROM source")
 
@@ -403,6 +437,10 @@ ORACLES: dict[str, str] = {
     "t1_first_documents_by_id": _source(
         f"{_SOURCE_COLUMNS} FROM source ORDER BY source.doc_idn NULLS FIRST LIMIT {OPTIONS.row_limit}"
     ),
+    "t1_many_documents_by_id": _source(
+        f"{_SOURCE_COLUMNS} FROM source ORDER BY source.doc_idn NULLS FIRST, ingreso NULLS FIRST, link NULLS FIRST,"
+        f" periodo NULLS FIRST LIMIT {X.LARGE_LIMIT}"
+    ),
     "t1_no_limit": _source(f"{_SOURCE_COLUMNS} FROM source"),
     "f1_text_folding": f"SELECT doc_id, {_fold('text')} AS folded FROM documents",
     "f2_issuer_detection": _fields("k, afp"),
@@ -446,6 +484,8 @@ ORACLES: dict[str, str] = {
         "doc_idn IS NOT NULL",
         select="SELECT RES_AFP, ES_DIF, ES_CERT_COT, count(*) AS documents FROM result GROUP BY ALL",
     ),
+    "r8_outcome_reasons": _reasons("orders"),
+    "r8_outcome_reasons_of_documents": _reasons("documents"),
     "certificate_audit": _audit(
         "orders", f"ingreso >= DATE '{ALWAYS}' AND {_NOT_DONE}", f"ORDER BY doc_idn NULLS FIRST LIMIT {OPTIONS.row_limit}"
     ),

@@ -21,6 +21,7 @@ from folioaudit.operators import landing as L
 from folioaudit.operators import verification as V
 from folioaudit.operators.diagnostics import diagnostics
 from folioaudit.operators.joins import lookup
+from folioaudit.operators.reasons import reason_rows
 from folioaudit.operators.status import result_rows
 from folioaudit.plans.audit import audit, run
 from folioaudit.schema import RESULT_SCHEMA
@@ -201,7 +202,7 @@ def _verified(d: Data) -> DataFrame:
 
 
 def _followed(d: Data) -> DataFrame:
-    return V.followed_copies(d.issuer_responses, d.landed_documents)
+    return V.followed_copies(d.issuer_responses, d.landed_documents).drop("copy_reason")
 
 
 def _audit(row_limit: int, since: dt.date = CUTOFF) -> Callable[[Data], DataFrame]:
@@ -221,6 +222,13 @@ def _audit_everything(d: Data) -> DataFrame:
     return audit(batch, d.landed_documents, d.issuer_responses, X.PROCESSED_AT)
 
 
+def _reasons(d: Data) -> DataFrame:
+    """Every document with the reason of its outcome."""
+    batch = C.candidates(d.certificates, None, ALWAYS, 0)
+    results = audit(batch, d.landed_documents, d.issuer_responses, X.PROCESSED_AT, reasons=True)
+    return reason_rows(results).drop("FECHA_PROCESO")
+
+
 def _newest_files(*by: str) -> Callable[[Data], DataFrame]:
     return lambda d: S.newest_files(d.landed_files, d.seen_files, *by)
 
@@ -319,6 +327,8 @@ QUERIES: dict[str, Query] = {
     "a4_diagnostics_no_target": _query(lambda d: diagnostics(d.source, None, CUTOFF)),
     # Top-k
     "t1_first_documents_by_id": _query(lambda d: C.first_by_id(d.source, OPTIONS.row_limit)),
+    # A limit far above what one task orders.
+    "t1_many_documents_by_id": _query(lambda d: C.first_by_id(d.source, X.LARGE_LIMIT, X.ORDERED_ROWS)),
     "t1_no_limit": _query(lambda d: C.first_by_id(d.source, 0)),
     # Text and scalar functions
     "f1_text_folding": _query(
@@ -373,6 +383,8 @@ QUERIES: dict[str, Query] = {
     "r8_audit_status": _query(
         lambda d: _audit_everything(d).groupBy("RES_AFP", "ES_DIF", "ES_CERT_COT").agg(F.count(F.lit(1)).alias("documents"))
     ),
+    "r8_outcome_reasons": _query(_reasons),
+    "r8_outcome_reasons_of_documents": _query(_reasons, "documents"),
     # The whole audit
     "certificate_run_batch": _query(_run_batch),
     "certificate_audit": _query(_audit(OPTIONS.row_limit, ALWAYS)),
