@@ -21,6 +21,19 @@ class AuditOptions:
     # Ledger of the copies that runs took, so that no later run takes them
     # again; created on first use. None keeps no ledger.
     seen_files_table: str | None = None
+    # Why each document has its outcome, one row per appended row; created on
+    # first use. None keeps no reasons.
+    reasons_table: str | None = None
+    # Processed ids in buckets, kept by every run, so that choosing a batch
+    # reads no row of the target; created on first use. None reads the target.
+    index_table: str | None = None
+    index_buckets: int = 64
+    # Name of a run. Its stages stay in the shared folder if it fails, and the
+    # next run of that name goes on from them. Never use one name twice at a time.
+    job_id: str | None = None
+    # A run whose lock on the target is older is taken for dead: more than the
+    # longest append takes.
+    lease_seconds: int = 600
     lookback_days: int = 30
     # Zero or less means no limit.
     row_limit: int = 240

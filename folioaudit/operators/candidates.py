@@ -82,6 +82,15 @@ def pending(df: DataFrame, ids: DataFrame | None) -> DataFrame:
     return _keyed(df).join(_known(ids), _KEY, "left_anti").drop(_KEY)
 
 
+def processed_among(df: DataFrame, index: DataFrame) -> DataFrame:
+    """Ids of ``df`` that the index holds, once each.
+
+    The index is stored in buckets of its id and is joined in place; of ``df``
+    only one row per id and task is shuffled.
+    """
+    return distinct_ids(df).join(index, "doc_idn", "left_semi")
+
+
 def already_processed(df: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows whose id is processed: the other half of ``pending``."""
     return _keyed(df).join(_known(ids), _KEY, "inner").drop(_KEY)

@@ -17,7 +17,7 @@ from ..operators.joins import lookup
 from ..operators.landing import acquire, clean_metadata, distinct_links, extract_fields
 from ..operators.status import REJECTED, RETURNED, outcomes, result_rows
 from ..operators.verification import compare, verify, with_request
-from ..session import scratch, stored
+from ..session import Scratch, exclusive, scratch, stored
 from ..sources import tables as S
 
 LOGGER = logging.getLogger(__name__)
@@ -72,14 +72,16 @@ def issuer_responses(spark: SparkSession, options: AuditOptions, seen: DataFrame
 
 
 def run(spark: SparkSession, options: AuditOptions) -> int:
-    """Audit the documents that are due and append them; returns their number."""
+    """Audit the documents that are due and append them; returns their number.
+
+    Stages are stored, so that nothing is chosen or audited anew when a second
+    use or a lost executor asks for it. Rows are published by one run at a time,
+    which leaves out documents that others have published meanwhile.
+    """
     source = S.scan(spark, options.source_table)
     S.validate_source(source)
-    ids = S.processed_ids(spark, options.target_table, options.filter_already_processed)
-    with scratch(spark) as held:
-        # Four narrow columns. Stored, the batch is fixed: it is not chosen anew
-        # when the second use or a lost executor asks for it.
-        batch = held.store(C.candidates(source, ids, options.cutoff(), options.row_limit))
+    with scratch(spark, options.job_id) as held:
+        batch = held.store(lambda: _batch(source, options, held), "batch")
         span = batch.agg(F.count(F.lit(1)).alias("n"), F.min("doc_idn").alias("low"), F.max("doc_idn").alias("high")).first()
         if not span.n:
             LOGGER.info("no new documents to audit")
@@ -88,29 +90,77 @@ def run(spark: SparkSession, options: AuditOptions) -> int:
                 LOGGER.warning("no candidates: %s", report.asDict())
             return 0
         LOGGER.info("auditing %s documents", span.n)
-        # Another run may have finished since the batch was chosen.
-        ids = S.processed_ids(
-            spark, options.target_table, options.filter_already_processed, refresh=True, between=(span.low, span.high)
-        )
-        if ids is not None:
-            batch = held.store(C.pending(batch, ids))
         seen = S.seen_files(spark, options.seen_files_table)
         if seen is not None:
-            seen = held.store(seen.distinct())  # fixed: the ledger grows at the end
-        responses = issuer_responses(spark, options, seen)
-        results = audit(batch, landed_documents(spark, options), responses, options.processed_at, held.store, options.bucketed)
-        keeps_ledger = bool(options.capital_folder and options.seen_files_table)
-        if keeps_ledger:
-            results = held.store(results)
-        counts = S.append_results(results, options.target_table, options.table_format)
-        if keeps_ledger:
+            seen = held.store(seen.distinct, "seen")  # fixed: the ledger grows at the end
+        results = held.store(lambda: _results(spark, batch, options, seen, held), "results")
+        with exclusive(spark, options.target_table, options.lease_seconds):
+            resumed = held.holds("fresh")
+            counts = _publish(spark, batch, results, options, held, (span.low, span.high), resumed)
+        if options.capital_folder and options.seen_files_table:
             # Behind the append: a run that ends between the two takes a file
             # again, for other documents, rather than losing it.
             S.remember_files(taken_copies(spark, options, results, seen), options.seen_files_table, options.table_format)
-    LOGGER.info("appended to %s: %s", options.target_table, counts)
+    LOGGER.info("appended to %s: %s", options.target_table, {name: n for name, n in counts.items() if n or not name.startswith("reason_")})
+    if options.index_table and options.filter_already_processed and not counts["rows"] and not resumed:
+        # All were in the target but not in the index, which holds them now.
+        return run(spark, options)
     return counts["rows"]
 
 
+def _batch(source: DataFrame, options: AuditOptions, held: Scratch) -> DataFrame:
+    """The documents of one run: four narrow columns."""
+    spark = source.sparkSession
+    ids = None
+    if options.index_table and options.filter_already_processed:
+        with exclusive(spark, options.target_table, options.lease_seconds):
+            index = S.id_index(spark, options.index_table, options.target_table, options.index_buckets)
+        if index is not None:
+            recent = C.lookback(C.normalize(source), options.cutoff())
+            ids = held.store(lambda: C.processed_among(recent, index), "processed")
+    else:
+        ids = S.processed_ids(spark, options.target_table, options.filter_already_processed)
+    return C.candidates(source, ids, options.cutoff(), options.row_limit)
+
+
+def _results(spark: SparkSession, batch: DataFrame, options: AuditOptions, seen: DataFrame | None, held: Scratch) -> DataFrame:
+    responses = issuer_responses(spark, options, seen)
+    documents = lambda df: held.store(df, "documents")
+    return audit(
+        batch, landed_documents(spark, options), responses, options.processed_at, documents, options.bucketed, reasons=True
+    )
+
+
+def _publish(
+    spark: SparkSession,
+    batch: DataFrame,
+    results: DataFrame,
+    options: AuditOptions,
+    held: Scratch,
+    between: tuple[int, int],
+    resumed: bool,
+) -> dict[str, int]:
+    """Append results and reasons, then index the ids. To be called by one run at a time.
+
+    What is to be appended is stored first. A job ``resumed`` after that leaves
+    out the rows that it appended before.
+    """
+    def fresh() -> DataFrame:
+        known = S.processed_ids(
+            spark, options.target_table, options.filter_already_processed, refresh=True, between=between
+        )
+        return C.pending(results, known)
+
+    rows = held.store(fresh, "fresh")
+    missing = (lambda table: S.not_appended(rows, table, between)) if resumed else (lambda table: rows)
+    counts = S.append_results(missing(options.target_table), options.target_table, options.table_format)
+    if options.reasons_table:
+        S.append_reasons(missing(options.reasons_table), options.reasons_table, options.table_format)
+    if options.index_table:
+        S.index_ids(batch, options.index_table, options.index_buckets)
+    return counts
+
+
 def taken_copies(spark: SparkSession, options: AuditOptions, results: DataFrame, seen: DataFrame | None) -> DataFrame:
     """The downloaded files that documents of ``results`` asked for: ``path, request_key``."""
     files = S.newest_copies(S.read_landed_files(spark, options.capital_folder), seen)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.reasons import REASONS, reason_rows
 from ..operators.status import NOT_OBTAINED, REJECTED, RETURNED
 from ..schema import REQUIRED_SOURCE_COLUMNS, RESULT_SCHEMA
 
@@ -49,6 +50,22 @@ def processed_ids(
     return target.select(F.col("DOC_IDN").cast("long").alias("doc_idn"))
 
 
+def id_index(spark: SparkSession, table: str, target_table: str, buckets: int) -> DataFrame | None:
+    """The index of processed ids; made from the target where there is none yet."""
+    if not spark.catalog.tableExists(table):
+        ids = processed_ids(spark, target_table, refresh=True)
+        if ids is None:
+            return None
+        index_ids(ids, table, buckets)
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
+def index_ids(ids: DataFrame, table: str, buckets: int) -> None:
+    """Add ids to the index; an id that it holds twice does no harm."""
+    save_bucketed(ids.select("doc_idn").distinct(), table, ["doc_idn"], buckets)
+
+
 def newest_files(files: DataFrame, seen: DataFrame | None, *keys: str) -> DataFrame:
     """Newest complete file per key among those not seen before.
 
@@ -159,6 +176,22 @@ def append_results(df: DataFrame, target_table: str, table_format: str = "parque
     written = Observation("appended")
     outcome = F.col("RES_AFP")
     counts = [F.count_if(outcome == value).alias(name) for name, value in OUTCOMES.items()]
-    rows = conform(df).observe(written, F.count(F.lit(1)).alias("rows"), *counts)
+    if "REASON" in df.columns:
+        counts += [F.count_if(F.col("REASON") == name).alias(f"reason_{name}") for name in REASONS]
+    rows = conform(df.observe(written, F.count(F.lit(1)).alias("rows"), *counts))
     rows.write.format(table_format).mode("append").saveAsTable(target_table)
     return {name: int(n or 0) for name, n in written.get.items()}
+
+
+def append_reasons(df: DataFrame, table: str, table_format: str = "parquet") -> None:
+    reason_rows(df).write.format(table_format).mode("append").saveAsTable(table)
+
+
+def not_appended(df: DataFrame, table: str, between: tuple[int, int]) -> DataFrame:
+    """Rows of one run, named by id and time of processing, that ``table`` does not hold."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        return df
+    spark.catalog.refreshTable(table)
+    held = spark.table(table).filter(F.col("DOC_IDN").between(*between)).select("DOC_IDN", "FECHA_PROCESO").distinct()
+    return df.join(held, ["DOC_IDN", "FECHA_PROCESO"], "left_anti").select(*df.columns)

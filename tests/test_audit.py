@@ -303,3 +303,124 @@ def test_bucketed_tables_give_the_same(spark, options):
                                    landed_table="audit_test.landed_b", responses_table="audit_test.responses_b")
     assert run(spark, bucketed) == len(CASES) + 3
     check_outcomes(spark.table(bucketed.target_table).collect())
+
+
+def fresh_tables(spark, options, prefix, **more):
+    """Options with targets of their own, none of which exists yet."""
+    for name in ("results", "reasons", "index"):
+        spark.sql(f"DROP TABLE IF EXISTS audit_test.{prefix}_{name}")
+    return dataclasses.replace(options, target_table=f"audit_test.{prefix}_results", reasons_table=f"audit_test.{prefix}_reasons", **more)
+
+
+def test_reasons_are_kept_beside_the_results(spark, options, caplog):
+    kept = fresh_tables(spark, options, "kept")
+    with caplog.at_level("INFO"):
+        assert run(spark, kept) == len(CASES) + 3
+    rows = spark.table(kept.reasons_table).collect()
+    assert {r.DOC_IDN: r.REASON for r in rows if r.DOC_IDN < 100} == {n: REASONS[k] for n, k in enumerate(CASES)}
+    assert len(rows) == len(CASES) + 3 and "'reason_not_certificate': 2" in caplog.text
+    assert "REASON" not in spark.table(kept.target_table).columns
+
+
+def stopped(monkeypatch, spark, options, place):
+    """Run until the function at ``place``, which fails as a lost driver would."""
+    with monkeypatch.context() as patch:
+        def lost(*_, **__):
+            raise KeyboardInterrupt
+
+        patch.setattr(place, lost)
+        with pytest.raises(KeyboardInterrupt):
+            run(spark, options)
+
+
+def job_folders(spark):
+    from pathlib import Path
+
+    from folioaudit.session import shared_folder
+
+    return list(Path(shared_folder(spark).removeprefix("file:")).glob("audit-job-*"))
+
+
+def test_a_job_goes_on_from_its_stored_stages(spark, options, monkeypatch):
+    """Stopped after extraction; the documents that landed are gone when it is started again."""
+    spark.table(options.landed_table).write.mode("overwrite").saveAsTable("audit_test.going")
+    job = fresh_tables(spark, options, "job", job_id="resumed", landed_table="audit_test.going")
+    stopped(monkeypatch, spark, job, "folioaudit.plans.audit.verify")
+    assert job_folders(spark) and not spark.catalog.tableExists(job.target_table)
+    only_copies = spark.table(options.landed_table).filter(F.col("link").startswith("https"))
+    only_copies.write.mode("overwrite").saveAsTable("audit_test.going")
+    assert run(spark, job) == len(CASES) + 3
+    check_outcomes(spark.table(job.target_table).collect())
+    assert not job_folders(spark)
+
+
+@pytest.mark.parametrize("filtered", [True, False])
+def test_a_job_lost_behind_its_append_adds_no_row_twice(spark, options, monkeypatch, filtered):
+    job = fresh_tables(spark, options, "lost", job_id="lost", filter_already_processed=filtered, row_limit=8)
+    stopped(monkeypatch, spark, job, "folioaudit.sources.tables.append_reasons")
+    assert spark.table(job.target_table).count() == 8 and not spark.catalog.tableExists(job.reasons_table)
+    assert run(spark, job) == 0
+    assert (spark.table(job.target_table).count(), spark.table(job.reasons_table).count()) == (8, 8)
+    # The name is free again: the next run is a new one.
+    assert run(spark, job) == 8
+    assert spark.table(job.target_table).count() == 16
+
+
+def test_a_lost_job_without_a_name_leaves_nothing(spark, options, monkeypatch):
+    job = fresh_tables(spark, options, "unnamed")
+    before = job_folders(spark)
+    stopped(monkeypatch, spark, job, "folioaudit.plans.audit.verify")
+    assert job_folders(spark) == before
+
+
+def test_two_runs_at_once_add_each_document_once(spark, options):
+    from concurrent.futures import ThreadPoolExecutor
+
+    both = fresh_tables(spark, options, "both")
+    with ThreadPoolExecutor(2) as pool:
+        added = list(pool.map(lambda _: run(spark, both), range(2)))
+    assert sum(added) == spark.table(both.target_table).count() == len(CASES) + 3
+    assert spark.table(both.reasons_table).count() == len(CASES) + 3
+
+
+def test_a_lock_left_by_a_lost_run_is_taken_over(spark):
+    import os
+    from pathlib import Path
+
+    from folioaudit.session import exclusive, shared_folder
+
+    lock = Path(shared_folder(spark).removeprefix("file:")) / "audit-lock-old"
+    lock.touch()
+    os.utime(lock, (1_700_000_000,) * 2)
+    with exclusive(spark, "old", 3600):
+        assert lock.exists()
+    assert not lock.exists()
+
+
+def test_batches_by_index(spark, options, monkeypatch):
+    """The index alone chooses: the target's ids are read in the batch's range only."""
+    indexed = fresh_tables(spark, options, "by", row_limit=7, index_table="audit_test.by_index", index_buckets=4)
+    ranges = []
+    read = S.processed_ids
+    monkeypatch.setattr(S, "processed_ids", lambda *a, **k: (ranges.append(k.get("between")), read(*a, **k))[1])
+    assert run(spark, indexed) == 7
+    ranges.clear()
+    assert [run(spark, indexed) for _ in range(2)] == [7, 4]
+    assert None not in ranges
+    assert run(spark, dataclasses.replace(indexed, enable_candidate_diagnostics=False)) == 0
+    check_outcomes(spark.table(indexed.target_table).collect())
+    ids = {r.DOC_IDN for r in spark.table(indexed.target_table).collect()}
+    assert {r.doc_idn for r in spark.table(indexed.index_table).collect()} == ids
+
+
+def test_an_index_that_lags_or_comes_late(spark, options):
+    """Made from a target that has none; rows that others appended are found, and then indexed."""
+    late = fresh_tables(spark, options, "late", row_limit=5)
+    assert run(spark, late) == 5
+    late = dataclasses.replace(late, index_table="audit_test.late_index", index_buckets=4)
+    assert run(spark, late) == 5
+    assert run(spark, dataclasses.replace(late, index_table=None)) == 5
+    # The five of the last run are chosen, left out and indexed; then the next are due.
+    assert run(spark, late) == 3
+    ids = [r.DOC_IDN for r in spark.table(late.target_table).collect()]
+    assert len(ids) == len(CASES) + 3 and sorted(set(ids)) == sorted([*range(len(CASES)), 100, 101])
