@@ -86,7 +86,8 @@ def processed_among(df: DataFrame, index: DataFrame) -> DataFrame:
     """Ids of ``df`` that the index holds, once each.
 
     The index is stored in buckets of its id and is joined in place; of ``df``
-    only one row per id and task is shuffled.
+    only one row per id and task is shuffled, and once more one per id where the
+    session's shuffle partitions are not as many as the buckets.
     """
     return distinct_ids(df).join(index, "doc_idn", "left_semi")
 

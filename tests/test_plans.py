@@ -221,3 +221,28 @@ def test_newest_by_key_breaks_ties(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), ("a", None, "z"), (None, 5, "w"), ("b", None, None)],
                                "k string, at int, v string")
     assert {tuple(r) for r in newest_by_key(df, ["k"], ["v"], "at").collect()} == {("a", "y"), ("b", None)}
+
+
+def test_an_index_is_joined_in_place(spark):
+    """Choosing a batch shuffles ids of the source, and no row of the index or the target."""
+    spark.sql("DROP TABLE IF EXISTS plan_index")
+    S.index_ids(spark.range(50_000).withColumnRenamed("id", "doc_idn"), "plan_index", 16)
+    recent = spark.range(0, 90_000, 3).select((F.col("id") % 30_000).alias("doc_idn"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    before = {key: spark.conf.get(key) for key in settings}
+    known = C.processed_among(recent, spark.table("plan_index"))
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        other = plan(known.select("*"))
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        same = plan(known.select("*"))
+        assert known.select("*").count() == recent.distinct().count()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+        spark.sql("DROP TABLE IF EXISTS plan_index")
+    for text in (other, same):
+        sides = re.split(r"\n +\+- Sort", text)
+        assert len(sides) == 2 and "Bucketed: true" in sides[1] and "Exchange" not in sides[1], text
+    # With as many shuffle partitions as buckets the source's ids move once, combined before.
+    assert same.count("Exchange hashpartitioning") == 1, same

@@ -406,6 +406,9 @@ ORACLES: dict[str, str] = {
     "j1_pending_documents": _source(
         f"{_SOURCE_COLUMNS} FROM source s WHERE NOT EXISTS (SELECT 1 FROM ids WHERE ids.doc_idn = s.doc_idn)"
     ),
+    "j1_pending_documents_by_index": _source(
+        f"{_SOURCE_COLUMNS} FROM source s WHERE doc_idn IS NULL OR doc_idn NOT IN (SELECT doc_idn FROM ids WHERE doc_idn IS NOT NULL)"
+    ),
     "j2_already_processed_documents": _source(
         f"{_SOURCE_COLUMNS} FROM source WHERE doc_idn IN (SELECT doc_idn FROM ids)"
     ),

@@ -290,6 +290,17 @@ def _run_batch(d: Data) -> DataFrame:
         d.spark.sql(f"DROP TABLE IF EXISTS {target}")
 
 
+def _pending_by_index(d: Data) -> DataFrame:
+    """Pending documents by a stored index of processed ids, which is dropped in the end."""
+    index = f"run_index_{uuid.uuid4().hex}"
+    S.index_ids(d.ids, index, OPTIONS.index_buckets)
+    try:
+        known = stored(C.processed_among(d.source, d.spark.table(index)))
+    finally:
+        d.spark.sql(f"DROP TABLE IF EXISTS {index}")
+    return C.pending(d.source, known)
+
+
 def _counts(d: Data) -> DataFrame:
     return diagnostics(d.source, d.ids, CUTOFF).select(
         "total_source", "recent_source", "already_processed", "pending_after_dedup"
@@ -312,6 +323,7 @@ QUERIES: dict[str, Query] = {
     "p5_processing_timestamp": _query(lambda d: _base_result(d).select("DOC_IDN", "FECHA_PROCESO")),
     # Joins
     "j1_pending_documents": _query(lambda d: C.pending(d.source, d.ids)),
+    "j1_pending_documents_by_index": _query(_pending_by_index),
     "j2_already_processed_documents": _query(lambda d: C.already_processed(d.source, d.ids)),
     "j3_issuer_rule_lookup": _query(_issuers_by_rule),
     "j4_verified_document_lookup": _query(_verified),
