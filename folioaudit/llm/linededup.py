@@ -19,15 +19,16 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import reduce
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, ship, spread_join, texts
-from .passages import repeated_passages
+from .common import BROADCAST_ROWS, checkpointed, ship, spread_join, texts
+from .passages import GROUP_BYTES, repeated_passages
+from .wordhash import buffers_of, bytes_of, groups, line_heads, sequence_hashes, word_hashes
 
 GRAM_WORDS = 20
 WINDOW = 4
@@ -39,58 +40,70 @@ def lines_of(text: str | None) -> tuple[list[str], list[int], np.ndarray, np.nda
 
     Lines are equal if their words are, whatever white space lies between.
     """
-    lines = (text or "").split("\n")
-    places, hashes, counts = [], [], []
-    for n, line in enumerate(lines):
-        words = line.encode("utf-8", "surrogatepass").split()
-        if words:
-            places.append(n)
-            hashes.append(xxhash.xxh3_64_intdigest(b" ".join(words)))
-            counts.append(len(words))
-    return lines, places, np.array(hashes, np.uint64), np.array(counts, np.int64)
-
-
-def grams(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and length in lines of the gram at each line; the tail has none."""
+    data, offsets = bytes_of([text])
+    _, places, hashes, counts = _hashed_lines(data, offsets)
+    return (text or "").split("\n"), places.tolist(), hashes, counts
+
+
+def _hashed_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First bytes, places, hashes and word counts of the lines of neighbouring texts that have words."""
+    starts, words = word_hashes(data, offsets)
+    heads, places = line_heads(data, offsets, starts)
+    ends = np.append(heads[1:], len(words)) if len(heads) else heads
+    return starts[heads], places, sequence_hashes(words, heads, ends), ends - heads
+
+
+def grams(hashes: np.ndarray, counts: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place, hash and length in lines of the gram at each line; a text's tail has none.
+
+    ``edges`` are the first line of each text, and the end of the last one's.
+    """
     ends = np.cumsum(counts)
     last = np.searchsorted(ends, ends - counts + GRAM_WORDS)
-    starts = np.flatnonzero(last < len(hashes))
-    sizes = last[starts] - starts + 1
-    out = [xxhash.xxh3_64_intdigest(hashes[s : s + n].tobytes()) for s, n in zip(starts, sizes)]
-    return np.array(out, np.uint64), sizes
+    starts = np.flatnonzero(last < np.repeat(edges[1:], np.diff(edges)))
+    return starts, sequence_hashes(hashes, starts, last[starts] + 1), last[starts] - starts + 1
+
+
+def chosen_grams(hashes: np.ndarray, counts: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lines and hashes of window minima, the last of equals, and of long lines, text by text."""
+    starts, found, sizes = grams(hashes, counts, edges)
+    bounds = np.searchsorted(starts, edges)
+    # For each gram the end of its text's grams: windows don't go beyond, and few grams are one window.
+    ends = np.repeat(bounds[1:], np.diff(bounds))
+    at = np.arange(len(found))
+    first = np.zeros(len(found), bool)
+    first[bounds[:-1][bounds[:-1] < bounds[1:]]] = True
+    heads = at[first | (at + WINDOW <= ends)]
+    best = heads
+    for k in range(1, WINDOW):
+        inside = heads + k < ends[heads]
+        other = np.where(inside, heads + k, heads)
+        best = np.where(inside & (found[other] <= found[best]), other, best)
+    chosen = sizes == 1
+    chosen[best] = True
+    return starts[chosen], found[chosen]
 
 
 def fingerprints(hashes: np.ndarray, counts: np.ndarray) -> list[tuple[int, int]]:
-    """(gram hash, line position) of window minima, the last of equals, and of long lines."""
-    found, sizes = grams(hashes, counts)
-    chosen = set(np.flatnonzero(sizes == 1).tolist())
-    width = min(WINDOW, len(found))
-    if width:
-        windows = np.lib.stride_tricks.sliding_window_view(found, width)
-        behind = width - 1 - windows[:, ::-1].argmin(axis=1)
-        chosen |= set((np.arange(len(windows)) + behind).tolist())
-    return [(int(found[k]), k) for k in sorted(chosen)]
+    """(gram hash, line position) of the fingerprints of one text."""
+    lines, found = chosen_grams(hashes, counts, np.array([0, len(hashes)]))
+    return list(zip(found.tolist(), lines.tolist()))
 
 
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hashes, prints, places = [], [], []
-        for text in batch.column(1).to_pylist():
-            _, _, found, counts = lines_of(text)
-            chosen = fingerprints(found, counts)
-            hashes.append(found.tobytes())
-            prints.append(np.array([p for p, _ in chosen], np.uint64).view(np.int64))
-            places.append([k for _, k in chosen])
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                batch.column(2),
-                pa.array(hashes, pa.binary()),
-                pa.array(prints, pa.list_(pa.int64())),
-                pa.array(places, pa.list_(pa.int32())),
-            ],
-            ["doc", "digest", "hashes", "prints", "places"],
-        )
+        data, offsets = buffers_of(batch.column(1))
+        for group in groups(offsets, GROUP_BYTES):
+            own = offsets[group.start : group.stop + 1]
+            starts, _, hashes, counts = _hashed_lines(data, own)
+            edges = np.searchsorted(starts, own)
+            lines, found = chosen_grams(hashes, counts, edges)
+            bounds = np.searchsorted(lines, edges)
+            places = lines - np.repeat(edges[:-1], np.diff(bounds))
+            ends = pa.array(bounds.astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (found.view(np.int64), places.astype(np.int32))]
+            images = pa.array([hashes[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0)[group], batch.column(2)[group], images, *lists], ["doc", "digest", "hashes", "prints", "places"])
 
 
 def extended(a: np.ndarray, b: np.ndarray, matches: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -127,12 +140,20 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _lines_with_words(text: str | None) -> tuple[list[str], list[int], list[int]]:
+    """All lines; places and word counts of those that have words."""
+    lines = (text or "").split("\n")
+    counts = [len(line.encode("utf-8", "surrogatepass").split()) for line in lines]
+    places = [k for k, n in enumerate(counts) if n]
+    return lines, places, [counts[k] for k in places]
+
+
 def cut(text: str | None, runs: list[tuple[int, int]]) -> tuple[str, int]:
     """The text without the lines of ``runs``, and how many of them had words.
 
     Lines without words stay unless they lie inside a run.
     """
-    lines, places, _, _ = lines_of(text)
+    lines, places, _ = _lines_with_words(text)
     gone, n = set(), 0
     for start, end in runs:
         for k in range(start, end):
@@ -147,27 +168,28 @@ def cut_words(text: str, runs: list[tuple[int, int]], spans: list[tuple[int, int
 
     Lines that lose all their words go, and lines without words between deleted words.
     """
-    lines, places, _, counts = lines_of(text)
-    ends = np.concatenate([[0], np.cumsum(counts)])
-    gone = np.zeros(int(ends[-1]), bool)
+    lines, places, counts = _lines_with_words(text)
+    ends = [0, *accumulate(counts)]
+    gone = bytearray(ends[-1])
     for start, end in [(ends[a], ends[b]) for a, b in runs] + spans:
-        gone[start:end] = True
+        gone[start:end] = b"\1" * (end - start)
     out, n, seen = [], 0, 0
-    with_words = set(places)
+    size = dict(zip(places, counts))
     for k, line in enumerate(lines):
-        if k not in with_words:
+        if k not in size:
             if not (0 < seen < len(gone) and gone[seen - 1] and gone[seen]):
                 out.append(line)
             continue
-        starts = [m.start() for m in WORD.finditer(line)]
-        own = gone[seen : seen + len(starts)]
-        seen += len(starts)
-        n += bool(own.any())
-        if own.any() and not own.all():
+        own = gone[seen : seen + size[k]]
+        seen += size[k]
+        lost = own.count(1)
+        n += lost > 0
+        if 0 < lost < size[k]:
+            starts = [m.start() for m in WORD.finditer(line)]
             stops = [*starts[1:], len(line)]
             kept = line[: starts[0]] + "".join(line[a:b] for a, b, x in zip(starts, stops, own) if not x)
             out.append(kept.rstrip(" \t\v\f\r") if own[-1] else kept)
-        elif not own.any():
+        elif not lost:
             out.append(line)
     return "\n".join(out), n
 
@@ -273,7 +295,17 @@ def _without(docs: DataFrame, keep: tuple[str, ...], runs: DataFrame | None, spa
     gone = reduce(DataFrame.unionByName, found).groupBy("doc", "digest")
     lists = [F.collect_list(F.when(F.col("part") == n, F.col("at"))).alias(name) for n, name in enumerate(("_runs", "_spans"))]
     right = gone.agg(*lists).select(F.concat_ws("/", "doc", "digest").alias("_key"), "_runs", "_spans")
-    joined = left.join(right, "_key", "left").select("_row", "_cut_text", "_runs", "_spans")
     row = dict(taken.dtypes)["_row"]
-    done = joined.mapInArrow(_cleaned, f"_row {row}, _text string, _removed long")
+    shape = f"_row {row}, _text string, _removed long"
+    right = checkpointed(right)
+    names = right.select("_key")
+    if names.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        # Only texts that lose something move; the others are read and returned.
+        names = F.broadcast(names)
+        some = left.join(names, "_key", "left_semi").join(right, "_key")
+        done = some.select("_row", "_cut_text", "_runs", "_spans").mapInArrow(_cleaned, shape)
+        whole = left.join(names, "_key", "left_anti").select("_row", F.col("_cut_text").alias("_text"), F.lit(0).cast("long").alias("_removed"))
+        done = done.unionByName(whole)
+    else:
+        done = left.join(right, "_key", "left").select("_row", "_cut_text", "_runs", "_spans").mapInArrow(_cleaned, shape)
     return done.select(*[F.col("_row").getField(n).alias(n) for n in keep], F.col("_text").alias("text"), F.col("_removed").alias("n_removed"))

@@ -17,57 +17,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, kept, rows_of, ship, spread_join, texts
+from .common import checkpointed, rows_of, ship, spread_join, texts
+from .wordhash import BASE, buffers_of, bytes_of, groups, line_heads, sequence_hashes, word_hashes, words_per_text
 
 PASSAGE = 51
 GRAM = 11
 CHOICE = PASSAGE - GRAM + 1
-CACHE_WORDS = 300_000
-GROUP_CHARS = 1_500_000  # texts that are hashed together
+GROUP_BYTES = 1_500_000  # texts that are hashed together
 CHUNK_WORDS = 400_000  # words whose windows are compared before the shuffle
-_BASE = 0x9E3779B97F4A7C15
-
-
-class Hashes(dict):
-    """Hash of each distinct word, worked out once."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
-        return found
 
 
 def words_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in a row, and how many each text has."""
-    known = kept("passage words", Hashes, lambda t: len(t) > CACHE_WORDS)
-    words: list[bytes] = []
-    sizes = []
-    for text in texts:
-        own = (text or "").encode("utf-8", "surrogatepass").split()
-        sizes.append(len(own))
-        words += own
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words)), np.array(sizes, np.int64)
-
-
-def _powers(base: int, size: int) -> np.ndarray:
-    out = np.full(size, base, np.uint64)
-    out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    data, offsets = bytes_of(texts)
+    starts, words = word_hashes(data, offsets)
+    return words, words_per_text(starts, offsets)
 
 
 def run_hashes(words: np.ndarray, width: int) -> np.ndarray:
-    """Hash of the ``width`` words from each place on, from sums of a polynomial."""
-    n = len(words) - width + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    sums = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(words * _powers(_BASE, len(words)), out=sums[1:])
-    total = (sums[width:] - sums[:n]) * _powers(pow(_BASE, -1, 2**64), n)
-    total = (total ^ (total >> np.uint64(32))) * np.uint64(_BASE)
-    return total ^ (total >> np.uint64(29))
+    """Hash of the ``width`` words from each place on."""
+    at = np.arange(max(0, len(words) - width + 1))
+    return sequence_hashes(words, at, at + width)
 
 
 def _sliding(values: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
@@ -95,23 +68,15 @@ def fingerprints(words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.n
     return found[chosen], chosen - begins[owner[chosen]], np.bincount(owner[chosen], minlength=len(sizes))
 
 
-def _groups(texts: list[str | None]) -> Iterator[slice]:
-    """Neighbouring texts of about ``GROUP_CHARS`` together."""
-    start = size = 0
-    for k, text in enumerate(texts):
-        size += len(text or "")
-        if size >= GROUP_CHARS or k + 1 == len(texts):
-            yield slice(start, k + 1)
-            start, size = k + 1, 0
-
-
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column(1).to_pylist()
-        for group in _groups(texts):
-            found, at, numbers = fingerprints(*words_of(texts[group]))
-            offsets = pa.array(np.concatenate([[0], np.cumsum(numbers)]).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (found.view(np.int64), at.astype(np.int32))]
+        data, offsets = buffers_of(batch.column(1))
+        for group in groups(offsets, GROUP_BYTES):
+            own = offsets[group.start : group.stop + 1]
+            starts, words = word_hashes(data, own)
+            found, at, numbers = fingerprints(words, words_per_text(starts, own))
+            ends = pa.array(np.concatenate([[0], np.cumsum(numbers)]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (found.view(np.int64), at.astype(np.int32))]
             yield pa.RecordBatch.from_arrays([batch.column(0)[group], *lists], ["doc", "prints", "places"])
 
 
@@ -127,11 +92,9 @@ def windows_at(size: int, places: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.cumsum(ends[:-1]) > 0)
 
 
-def _inside(text: str, size: int, runs: list[tuple[int, int]]) -> np.ndarray:
-    """Whether all words of the window at each place lie in ``runs`` of lines."""
-    counts = [n for n in (len(line.encode("utf-8", "surrogatepass").split()) for line in text.split("\n")) if n]
-    ends = np.concatenate([[0], np.cumsum(counts)])
-    left = np.ones(size, np.int64)
+def _inside(ends: np.ndarray, runs: list[tuple[int, int]]) -> np.ndarray:
+    """Whether all words of the window at each place lie in ``runs`` of lines, of which line k has the words up to ``ends[k + 1]``."""
+    left = np.ones(int(ends[-1]), np.int64)
     for start, end in runs:
         left[ends[start] : ends[end]] = 0
     sums = np.concatenate([[0], np.cumsum(left)])
@@ -139,7 +102,7 @@ def _inside(text: str, size: int, runs: list[tuple[int, int]]) -> np.ndarray:
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows (window, doc, digest, start, end, sure) of one chunk of texts after the other.
+    """What ``_compared`` finds in one chunk of texts after the other, packed by document.
 
     Of a chunk's equal windows the first is left to be compared with other
     chunks; the others are repeated for ``sure``, and are joined to runs.
@@ -147,19 +110,44 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     chunk: list[tuple[int, int, np.ndarray, np.ndarray]] = []
     size = 0
     for batch in batches:
-        columns = (batch.column(n).to_pylist() for n in ("doc", "digest", "text", "places", "runs"))
-        for doc, digest, text, places, runs in zip(*columns):
-            words, _ = words_of([text])
-            at = windows_at(len(words), np.array(places, np.int64))
-            if runs:
-                at = at[~_inside(text, len(words), [(r["start"], r["end"]) for r in runs])[at]]
-            chunk.append((doc, digest, at, run_hashes(words, PASSAGE)[at]))
-            size += len(at)
+        data, offsets = buffers_of(batch.column(batch.schema.get_field_index("text")))
+        columns = [batch.column(batch.schema.get_field_index(n)) for n in ("doc", "digest", "places", "runs")]
+        for group in groups(offsets, GROUP_BYTES):
+            own = offsets[group.start : group.stop + 1]
+            starts, words = word_hashes(data, own)
+            edges = np.searchsorted(starts, own)
+            heads = np.append(line_heads(data, own, starts)[0], len(words))
+            marks, windows = run_hashes(words, GRAM), run_hashes(words, PASSAGE)
+            least = _sliding(marks, CHOICE, np.minimum) if len(windows) else windows
+            for low, high, *row in zip(edges[:-1], edges[1:], *(c[group].to_pylist() for c in columns)):
+                doc, digest, places, runs = row
+                places = np.array(places, np.int64)
+                places = places[places <= high - low - GRAM]
+                at = windows_at(high - low, places)
+                # Equal windows have the same least gram, so that one is repeated too.
+                at = at[np.isin(least[low + at], marks[low + places])]
+                runs = [(r["start"], r["end"]) for r in runs or [] if r["digest"] == digest]
+                if runs:
+                    at = at[~_inside(heads[slice(*np.searchsorted(heads, [low, high + 1]))] - low, runs)[at]]
+                chunk.append((doc, digest, at, windows[low + at]))
+                size += len(at)
             if size >= CHUNK_WORDS:
-                yield _compared(chunk)
+                yield _packed(_compared(chunk))
                 chunk, size = [], 0
     if chunk:
-        yield _compared(chunk)
+        yield _packed(_compared(chunk))
+
+
+def _packed(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """Windows as lists of one document each, then the sure runs, whose lists are empty."""
+    window, doc, digest, start, end, sure = (c.to_numpy(zero_copy_only=False) for c in rows.columns)
+    lone = int(len(sure) - sure.sum())
+    fresh = np.flatnonzero((np.diff(doc[:lone], prepend=0) != 0) | (np.diff(digest[:lone], prepend=0) != 0) | (np.arange(lone) == 0))
+    heads = np.concatenate([fresh, np.arange(lone, len(sure))])
+    offsets = pa.array(np.concatenate([fresh, np.full(len(sure) - lone + 1, lone)]).astype(np.int32))
+    packed = pa.array(np.arange(len(heads)) >= len(fresh))
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(x[:lone])) for x in (start, window)]
+    return pa.RecordBatch.from_arrays([pa.array(doc[heads]), pa.array(digest[heads]), *lists, packed, pa.array(start[heads]), pa.array(end[heads])], ["doc", "digest", "starts", "windows", "sure", "start", "end"])
 
 
 def _compared(chunk: list[tuple[int, int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
@@ -182,7 +170,7 @@ def _compared(chunk: list[tuple[int, int, np.ndarray, np.ndarray]]) -> pa.Record
     run_end = np.maximum.reduceat(end, heads) if len(heads) else end
     lone = np.flatnonzero(first == np.arange(len(windows)))
     # A run found here gets a key of its own place, for even shuffling.
-    keys = [windows[lone], (docs[later][heads] ^ digests[later][heads]).view(np.uint64) * np.uint64(_BASE) + run_start.astype(np.uint64)]
+    keys = [windows[lone], (docs[later][heads] ^ digests[later][heads]).view(np.uint64) * np.uint64(BASE) + run_start.astype(np.uint64)]
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.concatenate(keys).view(np.int64)),
@@ -213,26 +201,26 @@ def repeated_passages(docs: DataFrame, runs: DataFrame | None = None) -> DataFra
     )
     twice = marks.groupBy("print").count().filter("count > 1").select("print")
     hits = spread_join(marks, twice, "print", "left_semi").groupBy("doc").agg(F.collect_set("place").alias("places"))
-    hits = checkpointed(hits)
-    wanted = rows_of(known, hits, "doc").withColumn("digest", F.xxhash64("text"))
-    read = spread_join(wanted, hits, "doc").select("doc", "digest", "text", "places")
     if runs is None:
-        read = read.withColumn("runs", F.lit(None).cast("array<struct<start:int,end:int>>"))
+        hits = hits.withColumn("runs", F.lit(None).cast("array<struct<digest:bigint,start:int,end:int>>"))
     else:
-        cut = rows_of(runs, hits, "doc").groupBy("doc", "digest").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
-        read = read.join(cut, ["doc", "digest"], "left")
-    spans = read.mapInArrow(_spans, "window long, doc long, digest long, start int, end int, sure boolean")
-    # At most one row a chunk has the same window, whatever the number of copies.
-    # Runs that a chunk is sure of have an end; windows need none.
-    spans = spans.select("window", "doc", "digest", F.when(F.col("sure"), -F.col("end")).otherwise(F.col("start")).alias("at"), F.when(F.col("sure"), F.col("start")).alias("begin"))
-    place = F.struct("doc", "digest", F.col("at").alias("start"))
-    sorted_rows = Window.partitionBy("window", F.col("begin").isNotNull())
-    each = spans.withColumn("least", F.min(place).over(sorted_rows)).withColumn("sure", F.col("begin").isNotNull())
-    each = each.select(
-        "doc", "digest", "least", "sure",
-        F.coalesce("begin", "at").alias("start"), F.when(F.col("sure"), -F.col("at")).otherwise(F.col("at") + PASSAGE).alias("end"),
-    )
-    place = F.struct("doc", "digest", "start")
+        lines = runs.groupBy("doc").agg(F.collect_list(F.struct("digest", "start", "end")).alias("runs"))
+        hits = hits.join(lines, "doc", "left")
+    hits = checkpointed(hits)
+    # Texts move once: the narrow rows of a document meet before they join its text.
+    wanted = rows_of(known, hits, "doc").withColumn("digest", F.xxhash64("text"))
+    read = spread_join(wanted, hits, "doc").select("doc", "digest", "text", "places", "runs")
+    shape = "doc long, digest long, starts array<int>, windows array<long>, sure boolean, start int, end int"
+    spans = checkpointed(read.mapInArrow(_spans, shape))
+    each = spans.filter(~F.col("sure")).select("doc", "digest", F.explode(F.arrays_zip("starts", "windows")).alias("w"))
+    each = each.select("doc", "digest", F.col("w.starts").alias("start"), F.col("w.windows").alias("window"))
+    # Most windows only lie at the edge of a repeated run: they are counted, and only
+    # repeated ones are compared. A chunk has each window once, whatever the number of copies.
+    again = checkpointed(each.groupBy("window").count().filter("count > 1").select("window"))
+    found = rows_of(each, again, "window")
+    first = found.groupBy("window").agg(F.min(F.struct("doc", "digest", "start")).alias("least"))
+    later = spread_join(found, first, "window").filter(F.struct("doc", "digest", "start") > F.col("least"))
     same = (F.col("doc") == F.col("least.doc")) & (F.col("digest") == F.col("least.digest"))
-    begin = F.when(same & ~F.col("sure"), F.greatest("start", F.col("least.start") + PASSAGE)).otherwise(F.col("start"))
-    return each.filter(F.col("sure") | (place > F.col("least"))).select("doc", "digest", begin.cast("int").alias("start"), "end")
+    begin = F.when(same, F.greatest("start", F.col("least.start") + PASSAGE)).otherwise(F.col("start"))
+    later = later.select("doc", "digest", begin.cast("int").alias("start"), (F.col("start") + PASSAGE).cast("int").alias("end"))
+    return later.unionByName(spans.filter("sure").select("doc", "digest", "start", "end"))

@@ -1,0 +1,58 @@
+"""Hashes of words against splitting each text."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from folioaudit.llm import wordhash as W
+
+
+def check(texts):
+    data, offsets = W.buffers_of(pa.array(texts, pa.string()))
+    starts, hashes = W.word_hashes(data, offsets)
+    want = [w for t in texts for w in (t or "").encode().split()]
+    assert W.words_per_text(starts, offsets).tolist() == [len((t or "").encode().split()) for t in texts]
+    assert len(want) == len(hashes)
+    assert len({(w, h) for w, h in zip(want, hashes.tolist())}) == len(set(want)) == len(set(hashes.tolist()))
+    heads, places = W.line_heads(data, offsets, starts)
+    lines = [(k, line.encode().split()) for t in texts for k, line in enumerate((t or "").split("\n"))]
+    assert places.tolist() == [k for k, words in lines if words]
+    assert np.diff(np.append(heads, len(want))).tolist() == [len(words) for _, words in lines if words]
+    again = np.concatenate([W.word_hashes(*W.bytes_of([t]))[1] for t in texts])
+    assert (again == hashes).all()
+
+
+@pytest.mark.parametrize("block", [5, 64, W.BLOCK])
+def test_equals_split(monkeypatch, block):
+    monkeypatch.setattr(W, "BLOCK", block)
+    W._block_powers.cache_clear()
+    # In one block a word is always hashed the same way; here words fill blocks.
+    monkeypatch.setattr(W, "LONG", min(W.LONG, block - 1))
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice("ab é\n\t\x0b　") for _ in range(rnd.randint(0, 90))) for _ in range(200)]
+    check([*texts, None, "", " ", "a", "b", "\n\n", "x" * 300, "y" * 300 + " z", "é" * 70])
+    W._block_powers.cache_clear()
+
+
+def test_long_words_and_texts():
+    blob = "q" * (3 * W.BLOCK)
+    check([blob, f"a {blob}", f"{blob} b\nc", "q" * W.LONG, "q" * (W.LONG + 1), "word " * W.BLOCK, None, blob])
+
+
+def test_slices_and_groups():
+    column = pa.array(["a b", None, "c d e", "", "f"], pa.string())
+    data, offsets = W.buffers_of(column[1:4])
+    assert W.words_per_text(W.word_hashes(data, offsets)[0], offsets).tolist() == [0, 3, 0]
+    assert W.buffers_of(column[:0])[1].tolist() == [0]
+    for size in (1, 4, 100):
+        parts = W.groups(W.buffers_of(column)[1], size)
+        assert [k for p in parts for k in range(p.start, p.stop)] == [0, 1, 2, 3, 4]
+
+
+def test_sequences():
+    values = np.array([1, 2, 3, 1, 2, 3, 4], np.uint64)
+    found = W.sequence_hashes(values, np.array([0, 3, 0, 4]), np.array([3, 6, 2, 6]))
+    assert found[0] == found[1] and len(set(found.tolist())) == 3
+    assert len(W.sequence_hashes(values[:0], np.empty(0, np.int64), np.empty(0, np.int64))) == 0
