@@ -214,13 +214,20 @@ def repeated_passages(docs: DataFrame, runs: DataFrame | None = None) -> DataFra
     spans = checkpointed(read.mapInArrow(_spans, shape))
     each = spans.filter(~F.col("sure")).select("doc", "digest", F.explode(F.arrays_zip("starts", "windows")).alias("w"))
     each = each.select("doc", "digest", F.col("w.starts").alias("start"), F.col("w.windows").alias("window"))
-    # Most windows only lie at the edge of a repeated run: they are counted, and only
-    # repeated ones are compared. A chunk has each window once, whatever the number of copies.
-    again = checkpointed(each.groupBy("window").count().filter("count > 1").select("window"))
-    found = rows_of(each, again, "window")
-    first = found.groupBy("window").agg(F.min(F.struct("doc", "digest", "start")).alias("least"))
-    later = spread_join(found, first, "window").filter(F.struct("doc", "digest", "start") > F.col("least"))
-    same = (F.col("doc") == F.col("least.doc")) & (F.col("digest") == F.col("least.digest"))
-    begin = F.when(same, F.greatest("start", F.col("least.start") + PASSAGE)).otherwise(F.col("start"))
-    later = later.select("doc", "digest", begin.cast("int").alias("start"), (F.col("start") + PASSAGE).cast("int").alias("end"))
-    return later.unionByName(spans.filter("sure").select("doc", "digest", "start", "end"))
+    # A chunk has each window once, whatever the number of copies. Only windows of
+    # several chunks are compared, first by document, of which a long is the least.
+    again = each.groupBy("window").agg(F.count("*").alias("n"), F.min("doc").alias("first")).filter("n > 1").select("window", "first")
+    again = checkpointed(again)
+    later = spread_join(each, again, "window").filter(F.col("doc") > F.col("first"))
+    later = later.select("doc", "digest", "start", (F.col("start") + PASSAGE).cast("int").alias("end"))
+    sure = spans.filter("sure").select("doc", "digest", "start", "end")
+    return later.unionByName(sure).unionByName(_other_texts(spans, each, again))
+
+
+def _other_texts(spans: DataFrame, each: DataFrame, again: DataFrame) -> DataFrame:
+    """Windows of a ``doc_id`` with several texts that an earlier one of them holds first."""
+    several = spans.groupBy("doc").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).filter("a < b").select("doc")
+    own = spread_join(rows_of(each, checkpointed(several), "doc"), again, "window").filter(F.col("doc") == F.col("first")).drop("first")
+    least = own.groupBy("window").agg(F.min("digest").alias("least"))
+    later = spread_join(own, least, "window").filter(F.col("digest") > F.col("least"))
+    return later.select("doc", "digest", "start", (F.col("start") + PASSAGE).cast("int").alias("end"))

@@ -134,3 +134,29 @@ def test_longer_run_with_another_than_the_first_document(spark):
     rows = [(1, f"one\n{p}\ntwo"), (2, f"three\n{q}\nq\n{p}\nfour"), (3, f"five\n{q}\nq\n{p}\nsix")]
     got = {i: t for i, t, _ in result(spark, rows, D.without_repeated_text)}
     assert got == {1: rows[0][1], 2: f"three\n{q}\nq\nfour", 3: "five\nsix"}
+
+
+def test_other_texts_of_one_id(spark):
+    """Chunks of one text each: the texts of an id, and their copies, meet only after the shuffle."""
+    rnd = random.Random(6)
+    some = lambda n: [str(rnd.randint(0, 10**6)) for _ in range(n)]
+    shared = [some(n) for n in (51, 60, 90)]
+    rows = [(rnd.choice([3, 3, 3, 4, 5]), " ".join(some(9) + shared[0] + some(5) + rnd.choice(shared) + some(3))) for _ in range(24)]
+    rows += rows[:5]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(29)
+    got = sorted((i, t.split()) for i, t, _ in D.without_passages(df, "doc_id").collect())
+    digests = {r["text"]: r["d"] for r in df.selectExpr("text", "xxhash64(text) d").collect()}
+    place = {row: k for k, row in enumerate(sorted(set(rows), key=lambda r: (r[0], digests[r[1]])))}
+    gone = later_words([(k, t) for (_, t), k in place.items()])
+    assert got == sorted((i, [w for k, w in enumerate(t.split()) if k not in gone[place[i, t], t]]) for i, t in rows)
+    assert sum(map(len, gone.values())) > 1000
+
+
+def test_texts_of_one_id_in_several_chunks(spark):
+    """A window of two texts of one id goes from that of the greater digest; other ids are compared elsewhere."""
+    rows = [(3, 10, 0, 77), (3, 20, 5, 77), (3, 20, 6, 78), (4, 5, 1, 77), (6, 1, 0, 79), (6, 2, 0, 79), (6, 2, 0, 79)]
+    each = spark.createDataFrame(rows, "doc long, digest long, start int, window long")
+    again = spark.createDataFrame([(77, 3), (78, 3), (79, 6)], "window long, first long")
+    got = P._other_texts(each, each, again).distinct().collect()
+    assert sorted(map(tuple, got)) == [(3, 20, 5, 56), (6, 2, 0, 51)]
+    assert P._other_texts(each.filter("doc = 4"), each.filter("doc = 4"), again).count() == 0
