@@ -72,7 +72,13 @@ def _keyed(df: DataFrame) -> DataFrame:
 
 
 def _known(ids: DataFrame) -> DataFrame:
-    return _keyed(distinct_ids(ids)).select(_KEY)
+    """The distinct ids, to be joined by shuffle whatever their files' size.
+
+    A target's ids are a sliver of its files, and repeats compress to nothing: an
+    estimate by bytes would send any number of them through the driver, and a
+    broadcast once planned is not given up at run time.
+    """
+    return _keyed(distinct_ids(ids)).select(_KEY).hint("merge")
 
 
 def pending(df: DataFrame, ids: DataFrame | None) -> DataFrame:

@@ -246,3 +246,15 @@ def test_an_index_is_joined_in_place(spark):
         assert len(sides) == 2 and "Bucketed: true" in sides[1] and "Exchange" not in sides[1], text
     # With as many shuffle partitions as buckets the source's ids move once, combined before.
     assert same.count("Exchange hashpartitioning") == 1, same
+
+
+def test_processed_ids_are_not_broadcast_by_the_size_of_their_files(spark, tmp_path):
+    """Ids that compress to a few kilobytes are as many rows as any others."""
+    spark.range(300_000).select(F.col("id").alias("doc_idn"), F.lit(None).cast("string").alias("other")).write.parquet(f"{tmp_path}/ids")
+    ids = spark.read.parquet(f"{tmp_path}/ids").select("doc_idn")
+    rows = spark.range(299_990, 300_010).select(F.col("id").alias("doc_idn"))
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="100MB"):
+        for df, n in ((C.pending(rows, ids), 10), (C.already_processed(rows, ids), 10)):
+            text = plan(df, executed=True)
+            assert "SortMergeJoin" in text and "Broadcast" not in text
+            assert df.count() == n
