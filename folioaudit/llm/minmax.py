@@ -242,7 +242,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         )
         held = spread_join(paired, sets, "doc")
         more = held.groupBy("key", "one", "two").applyInArrow(_block_links, "a long, b long")
-        parts = components(checkpointed(links.unionByName(more)))
+        # What was connected is one star per component by now: few rounds remain.
+        known = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        parts = components(checkpointed(known.unionByName(more)))
 
     named = spread_join(classes.select("digest", "doc"), parts.withColumnRenamed("node", "doc"), "doc", "left")
     named = named.select("digest", F.coalesce("component", "doc").alias("component_id"))

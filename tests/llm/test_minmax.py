@@ -94,3 +94,19 @@ def test_components_of_a_path_and_a_star(spark):
     found = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert all(found[i] == 0 for i in range(41)) and all(found[i] == 100 for i in range(100, 140))
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_second_search_starts_from_the_components_found(spark, monkeypatch):
+    """Links that were followed once are not followed again, chain by chain."""
+    seen = []
+
+    def recorded(edges):
+        seen.append({tuple(r) for r in edges.collect()})
+        return components(edges)
+
+    monkeypatch.setattr(minmax, "components", recorded)
+    rows = corpus(3)
+    assert result(spark, rows) == brute(rows)
+    first, second = seen
+    stars = {tuple(r) for r in components(spark.createDataFrame(list(first), "a long, b long")).collect()}
+    assert stars <= second
