@@ -229,18 +229,31 @@ def score_texts(texts: list[str | None], known: _Words) -> tuple[list[str], list
     return langs, scores
 
 
+def _scored(texts: pa.Array, model: Model) -> tuple[pa.Array, pa.Array]:
+    """Language and score of each text of one batch."""
+    langs, scores = [], []
+    for at in range(0, len(texts), 1000):
+        some = score_texts(texts.slice(at, 1000).to_pylist(), _words_for(model))
+        langs += some[0]
+        scores += some[1]
+    return pa.array(langs, pa.string()), pa.array(scores, pa.float64())
+
+
 def _scorer(model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches):
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text"))
-            langs, scores = [], []
-            for at in range(0, len(texts), 1000):
-                some = score_texts(texts.slice(at, 1000).to_pylist(), _words_for(model.value))
-                langs += some[0]
-                scores += some[1]
-            others = [batch.column(n) for n in batch.schema.names if n != "text"]
+            found = _scored(batch.column(batch.schema.get_field_index("text")), model.value)
             names = [n for n in batch.schema.names if n != "text"]
-            yield pa.RecordBatch.from_arrays([*others, pa.array(langs), pa.array(scores)], [*names, "lang_pred", "score"])
+            others = [batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays([*others, *found], [*names, "lang_pred", "score"])
+
+    return run
+
+
+def _column_scorer(model) -> Callable[[Iterator[pa.Array]], Iterator[pa.Array]]:
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in columns:
+            yield pa.StructArray.from_arrays(_scored(texts, model.value), ["lang_pred", "score"])
 
     return run
 
@@ -350,10 +363,16 @@ def languages_of(docs: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame) -> DataFrame:
-    """Rows, all columns, whose language is known with a score of ``LEAST`` or more."""
+    """Rows, all columns, whose language is known with a score of ``LEAST`` or more.
+
+    Only texts go to the workers and only outcomes return: the rows wait in Spark,
+    which would otherwise hold batches of them outside its heap, twice each way.
+    """
     model = train(docs.filter(~held_out()))
-    names = docs.columns
-    carried = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"), F.col("text"))
-    found = identify(carried, model, "_row")
-    good = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST)
-    return found.filter(good).select(*[F.col("_row").getField(n).alias(n) for n in names])
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Not deterministic to the planner, lest it score once per use.
+    score = F.arrow_udf(_column_scorer(shared), "lang_pred string, score double").asNondeterministic()
+    row = F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("_row")
+    found = docs.select(row, score(F.col("text").cast("string")).alias("_found"))
+    good = (F.col("_found.lang_pred") != UNKNOWN) & (F.col("_found.score") >= LEAST)
+    return found.filter(good).select(*[F.col("_row").getField(n).alias(n) for n in docs.columns])

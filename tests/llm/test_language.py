@@ -83,3 +83,13 @@ def test_edges(spark):
     assert kept.columns == docs.columns and kept.count() == len(rows) - 3
     assert L.languages_of(docs.limit(0)).count() == 0
     assert {r["lang_pred"] for r in L.languages_of(docs.withColumn("lang", docs["lang"].substr(9, 1)).filter("lang = 'q'").unionByName(docs.withColumn("lang", docs["_row"].substr(5, 0)).replace("", None, ["lang"]))).collect()} == {"und"}
+
+
+def test_only_texts_go_to_the_workers(spark):
+    """The stage's rows stay in Spark: texts are sent once and don't come back."""
+    rows = [(k, "the cat sat on the mat " * 9, "en") for k in range(4)] + [(k, "le chat est sur la table " * 9, "fr") for k in range(4, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = L.accepted(docs)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "MapInArrow" not in plan
+    assert sorted(map(tuple, kept.collect())) == rows
