@@ -123,6 +123,13 @@ def test_wanted_rows_are_chosen_before_versions_are_compared(spark, stored):
     assert steps == sorted(steps)
 
 
+def test_verdicts_that_name_a_path_are_found_once(stored):
+    """They are stored: no second scan and parse for the addresses to look up."""
+    text = plan(whole(stored))
+    assert "EqualTo(afp,habitat)" not in text and "In(afp, [capital,cuprum" in text
+    assert text.count("issuer_responses") == plan(V.direct_copies(stored["issuer_responses"])).count("issuer_responses")
+
+
 def whole_docs(stored):
     links = L.distinct_links(C.normalize(stored["certificates"]))
     return L.extract_fields(L.clean_metadata(L.acquire(links, stored["landed_documents"])))
