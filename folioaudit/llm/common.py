@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import functools
 import gc
 import math
 import os
@@ -13,7 +14,7 @@ import threading
 import time
 import weakref
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -32,6 +33,10 @@ BROADCAST_ROWS = 200_000
 # A worker without a task for so long gives its table back.
 IDLE_SECONDS = 2.0
 
+# Bytes of the rows that go to a Python worker at once, where texts do.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _shipped: set[str] = set()
 _kept: dict[object, object] = {}
 _lock = threading.RLock()
@@ -64,6 +69,17 @@ def _given_back() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for tasks whose worker gives back at their end what they have freed."""
+
+    @functools.wraps(run)
+    def task(batches):
+        yield from run(batches)
+        _given_back()
+
+    return task
+
+
 def _watch(held: weakref.ref) -> None:
     """Let go of a table once no task holds it or has asked for it for a while."""
     names = 3  # this function's, the dictionary's and the call's own
@@ -105,6 +121,23 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def checkpointed_lean(df: DataFrame) -> DataFrame:
+    """As ``checkpointed``, for rows that Python workers make of whole texts.
+
+    A batch of rows waits outside Spark's heap and, whole, in the worker; the
+    default of 10,000 rows or 64 MB costs each core several times that. Batches of
+    ``BATCH_BYTES`` are used here, unless the session sets a size of its own.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_SETTING, None) is not None:
+        return checkpointed(df)
+    conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        return checkpointed(df)
+    finally:
+        conf.unset(_BATCH_SETTING)
+
+
 def texts(docs: DataFrame) -> DataFrame:
     """The two columns that most operators read; the rest is pruned."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

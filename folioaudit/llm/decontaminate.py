@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, row_key, rows_of, ship
+from .common import checkpointed, checkpointed_lean, lean, row_key, rows_of, ship
 from .common import kept as kept_table
 
 WINDOW = 8  # template words of a window
@@ -191,7 +191,7 @@ def _candidates(marks, widths: list[int]) -> Callable[[Iterator[pa.RecordBatch]]
                     list(out),
                 )
 
-    return run
+    return lean(run)
 
 
 def found_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -229,7 +229,7 @@ def found_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     covered = aligned.groupBy("key", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("found"))
     share = (F.col("found") / F.col("n")).alias("coverage")
-    return covered.join(sizes, "item_id").select("key", "item_id", share).filter(F.col("coverage") >= COVERAGE)
+    return checkpointed_lean(covered.join(sizes, "item_id").select("key", "item_id", share).filter(F.col("coverage") >= COVERAGE))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, checkpointed, ship, spread_join, texts
+from .common import BROADCAST_ROWS, checkpointed, checkpointed_lean, lean, ship, spread_join, texts
 from .passages import GROUP_BYTES, repeated_passages
 from .wordhash import buffers_of, bytes_of, groups, line_heads, sequence_hashes, word_hashes
 
@@ -90,6 +90,7 @@ def fingerprints(hashes: np.ndarray, counts: np.ndarray) -> list[tuple[int, int]
     return list(zip(found.tolist(), lines.tolist()))
 
 
+@lean
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = buffers_of(batch.column(1))
@@ -234,7 +235,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     read = known.mapInArrow(_prints, "doc long, digest long, hashes binary, prints array<long>, places array<int>")
     # Distinct combines before the shuffle; then one text of a repeated doc_id is left.
     single = read.filter(F.size("prints") > 0).groupBy("doc").agg(F.min(F.struct("digest", "hashes", "prints", "places")).alias("x"))
-    read = checkpointed(single.select("doc", "x.digest", "x.hashes", "x.prints", "x.places"))
+    read = checkpointed_lean(single.select("doc", "x.digest", "x.hashes", "x.prints", "x.places"))
     marks = read.select("doc", F.explode(F.arrays_zip("prints", "places")).alias("m")).select(
         "doc", F.col("m.prints").alias("print"), F.col("m.places").alias("place")
     )

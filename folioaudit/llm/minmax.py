@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, rows_of, ship, spread_join, texts
+from .common import checkpointed, checkpointed_lean, lean, rows_of, ship, spread_join, texts
 from .components import components
 
 WORDS = 5  # words of a shingle
@@ -82,6 +82,7 @@ def bands(found: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+@lean
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column(0)
@@ -98,6 +99,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+@lean
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
@@ -117,6 +119,7 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= SIMILAR * (len(a) + len(b) - both)
 
 
+@lean
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a, b = batch.column(2), batch.column(3)
@@ -206,7 +209,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     ship(docs.sparkSession)
     docs = texts(docs)
-    signed = checkpointed(
+    signed = checkpointed_lean(
         docs.mapInArrow(_signed, "doc_id long, n_shingles long, digest binary, keys array<long>")
     )
     classes = (
@@ -224,8 +227,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     pairs = members.select(F.col("least").alias("a"), F.col("doc").alias("b")).distinct()
     involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = checkpointed(rows_of(docs, involved).mapInArrow(_sets, "doc long, found binary"))
-    links = checkpointed(_confirm(pairs, sets))
+    sets = checkpointed_lean(rows_of(docs, involved).mapInArrow(_sets, "doc long, found binary"))
+    links = checkpointed_lean(_confirm(pairs, sets))
     parts = components(links)
 
     sizes = sets.groupBy("doc").agg(F.max(F.octet_length("found") / 8).cast("long").alias("size"))
@@ -244,7 +247,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         more = held.groupBy("key", "one", "two").applyInArrow(_block_links, "a long, b long")
         # What was connected is one star per component by now: few rounds remain.
         known = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        parts = components(checkpointed(known.unionByName(more)))
+        parts = components(checkpointed_lean(known.unionByName(more)))
 
     named = spread_join(classes.select("digest", "doc"), parts.withColumnRenamed("node", "doc"), "doc", "left")
     named = named.select("digest", F.coalesce("component", "doc").alias("component_id"))

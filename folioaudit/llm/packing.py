@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, kept, ship, texts
+from .common import checkpointed, checkpointed_lean, kept, lean, ship, texts
 
 CAPACITY = 2048
 PARTITION_PIECES = 50_000  # what one task packs
@@ -54,7 +54,7 @@ def _tokenizer(tokenizer) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
 
-    return run
+    return lean(run)
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -153,7 +153,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     ``certified_gap`` tells by how many sequences the piece's last partition
     may exceed what any packing of that partition needs.
     """
-    cut = checkpointed(pieces(docs, tokenizer))
+    cut = checkpointed_lean(pieces(docs, tokenizer))
     name = lambda round_: F.lit(round_ << 58) + F.col("part") * F.lit(1 << 24) + F.col("bin")
     whole = cut.filter(F.col("length") == CAPACITY)
     whole = whole.withColumns({"sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("long"), "certified_gap": F.lit(0).cast("long")})

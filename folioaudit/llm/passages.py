@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, rows_of, ship, spread_join, texts
+from .common import checkpointed, checkpointed_lean, lean, rows_of, ship, spread_join, texts
 from .wordhash import BASE, buffers_of, bytes_of, groups, line_heads, sequence_hashes, word_hashes, words_per_text
 
 PASSAGE = 51
@@ -68,6 +68,7 @@ def fingerprints(words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.n
     return found[chosen], chosen - begins[owner[chosen]], np.bincount(owner[chosen], minlength=len(sizes))
 
 
+@lean
 def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = buffers_of(batch.column(1))
@@ -195,7 +196,7 @@ def repeated_passages(docs: DataFrame, runs: DataFrame | None = None) -> DataFra
     """
     ship(docs.sparkSession)
     known = texts(docs).filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("doc"), "text")
-    read = checkpointed(known.mapInArrow(_prints, "doc long, prints array<long>, places array<int>").filter(F.size("prints") > 0))
+    read = checkpointed_lean(known.mapInArrow(_prints, "doc long, prints array<long>, places array<int>").filter(F.size("prints") > 0))
     marks = read.select("doc", F.explode(F.arrays_zip("prints", "places")).alias("m")).select(
         "doc", F.col("m.prints").alias("print"), F.col("m.places").alias("place")
     )

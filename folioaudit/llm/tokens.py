@@ -110,6 +110,8 @@ class WordIds(dict):
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """Ids of each text, in order, as unsigned 32-bit integers."""
+        if len(self) > CACHE_WORDS:  # calls of few words each fill the table too
+            self.reset()
         held: list[list[np.ndarray]] = []
         n = 0
         for text in texts:

@@ -53,3 +53,42 @@ def test_blocks_are_added(spark):
     found = C.summed_blocks(rows.mapInArrow(blocks, "block binary"), 150, (2, 3))
     assert np.array_equal(found, np.full((2, 3), 300 * 299 / 2))
     assert C.summed_blocks(rows.filter(F.col("id") < 0).mapInArrow(blocks, "block binary"), 150, (2, 3)).sum() == 0
+
+
+def test_texts_go_to_workers_in_small_batches(spark):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(0, 3000, 1, 1).withColumn("text", F.repeat(F.lit("words "), 1000))
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], ["n", "rows"])
+
+    def seen():
+        return C.checkpointed_lean(docs.mapInArrow(sizes, "n long, rows long")).agg(F.max("n"), F.sum("rows"), F.count("n")).first()
+
+    before = spark.conf.get(setting)
+    most, rows, _ = seen()
+    assert rows == 3000 and most < 1.5 * C.BATCH_BYTES
+    assert spark.conf.get(setting) == before
+    spark.conf.set(setting, "64m")  # a session's own size holds
+    try:
+        assert seen()[2] == 1
+        assert spark.conf.get(setting) == "64m"
+    finally:
+        spark.conf.unset(setting)
+
+
+def test_lean_tasks_give_memory_back(monkeypatch):
+    called = []
+    monkeypatch.setattr(C, "_given_back", lambda: called.append(1))
+
+    @C.lean
+    def twice(batches):
+        for x in batches:
+            yield 2 * x
+
+    run = twice(iter([1, 2]))
+    assert next(run) == 2 and not called
+    assert list(run) == [4] and called == [1]

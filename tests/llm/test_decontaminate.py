@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.accumulators import AccumulatorParam
+
 from folioaudit.llm import decontaminate as D
 
 
@@ -84,3 +86,38 @@ def test_edges(spark):
     assert left.columns == ["doc_id", "text", "key", "window"] and left.count() == 3
     assert D.contamination(d.limit(0), b).count() == 0
     assert not any(r["contaminated"] for r in D.contamination(d, b.limit(0)).collect())
+
+
+def test_texts_are_read_in_small_batches(spark, monkeypatch):
+    """The scan's batches are bounded in bytes, for the pipeline's stage and the operator alike."""
+    sizes = spark.sparkContext.accumulator(0, Most())
+    scan = D._candidates
+
+    def watched(marks, widths):
+        run = scan(marks, widths)
+
+        def counted(batches):
+            def each():
+                for batch in batches:
+                    sizes.add(batch.nbytes)
+                    yield batch
+
+            return run(each())
+
+        return counted
+
+    monkeypatch.setattr(D, "_candidates", watched)
+    d = spark.range(0, 2000, 1, 1).selectExpr("id AS doc_id", "concat(repeat('plain words ', 800), IF(id = 7, :item, '')) AS text".replace(":item", f"'{ITEM}'"))
+    b = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    assert D.clean(d, b).count() == 1999
+    assert 0 < sizes.value < 8 << 20
+    assert [r["doc_id"] for r in D.contamination(d, b).filter("contaminated").collect()] == [7]
+    assert sizes.value < 8 << 20
+
+
+class Most(AccumulatorParam):
+    def zero(self, value):
+        return 0
+
+    def addInPlace(self, a, b):  # noqa: N802
+        return max(a, b)
