@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioaudit.llm import decontaminate, language, linededup, minmax, packing
-from folioaudit.llm.common import checkpointed, rows_of, table
+from folioaudit.llm.common import checkpointed, checkpointed_lean, rows_of, table
 from folioaudit.llm.rules import HAS_WORD
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a known language."""
-    return language.accepted(docs)
+    """Drop documents without a known language. The rows left are stored, so that texts go out in small batches."""
+    return checkpointed_lean(language.accepted(docs))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,6 +66,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for n, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
-        if n + 1 < len(STAGES):
+        if n + 1 < len(STAGES) and stage is not identify_language:
             docs = checkpointed(docs)
     return docs

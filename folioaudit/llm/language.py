@@ -33,6 +33,7 @@ SAMPLE_DOCS = 300
 LANGUAGES = 200
 CACHE_WORDS = 300_000
 GROUP_WORDS = 300_000
+SCORED_PARTS = 4_000  # scored at once: every place of each holds sums for all languages
 PRIOR = 0.01  # expected count added to each piece
 LEAST = 0.5  # a document below this score is rejected
 
@@ -113,13 +114,13 @@ def parts_of(word: bytes) -> list[bytes]:
     return [word[k : k + WORD_BYTES] for k in range(0, len(word), WORD_BYTES)]
 
 
-def _by_length(parts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _by_length(parts: list[bytes], most: int = 20_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places and bytes of the parts of each length, in bounded groups."""
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
     for length in np.unique(sizes):
         places = np.flatnonzero(sizes == length)
-        for at in range(0, len(places), 20_000):
-            some = places[at : at + 20_000]
+        for at in range(0, len(places), most):
+            some = places[at : at + most]
             joined = b"".join(parts[k] for k in some)
             yield some, np.frombuffer(joined, np.uint8).reshape(len(some), length)
 
@@ -132,7 +133,7 @@ def word_scores(words: list[bytes], pieces: Pieces, probs: np.ndarray) -> np.nda
             parts.append(part)
             owner.append(n)
     logs = np.zeros((len(parts), probs.shape[1]))
-    for places, matrix in _by_length(parts):
+    for places, matrix in _by_length(parts, SCORED_PARTS):
         logs[places] = np.log(forward(pieces.ids(matrix), probs)[-1])
     out = np.zeros((len(words), probs.shape[1]))
     np.add.at(out, np.array(owner, np.int64), logs)

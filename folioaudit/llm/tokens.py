@@ -16,8 +16,8 @@ from collections.abc import Iterator
 import numpy as np
 from tokenizers import Tokenizer
 
-CACHE_WORDS = 400_000
-GROUP_WORDS = 300_000
+CACHE_WORDS = 200_000
+GROUP_WORDS = 100_000
 _SIZE_BITS = 24
 _SIZES = (1 << _SIZE_BITS) - 1
 # A word of Latin-1 letters with ASCII punctuation behind it. Such letters are

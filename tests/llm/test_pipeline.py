@@ -1,13 +1,17 @@
 """The pipeline's stages, each against a brute-force version on its own input."""
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as C
-from folioaudit.llm import decontaminate, language, linededup, packing
+from folioaudit.llm import decontaminate, language, linededup, packing, tokens
 from folioaudit.llm.common import table
 
+from .test_decontaminate import Most
 from .test_decontaminate import brute as items_in
 from .test_linededup import brute as cut_lines
 from .test_minmax import brute as near
@@ -99,3 +103,39 @@ def test_benchmark_windows_of_this_data(spark, sf_dir):
 
 def test_line_window_is_the_documented_one():
     assert (linededup.GRAM_WORDS, linededup.WINDOW) == (20, 4)
+
+
+def test_language_stage_reads_small_batches(spark, monkeypatch):
+    """Its rows are stored under bounded batches; the learned model and the verdicts stay."""
+    rows = [(k, "the cat sat on the mat " * 700, "en") for k in range(500)] + [(k, "le chat est sur la table " * 700, "fr") for k in range(500, 1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    sizes = spark.sparkContext.accumulator(0, Most())
+    scored = language._scored
+
+    def watched(texts, model):
+        sizes.add(texts.nbytes)
+        return scored(texts, model)
+
+    def scorer(model):
+        def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for texts in columns:
+                yield pa.StructArray.from_arrays(watched(texts, model.value), ["lang_pred", "score"])
+
+        return run
+
+    monkeypatch.setattr(language, "_column_scorer", scorer)
+    kept = C.identify_language(spark, docs, "")
+    assert kept.columns == docs.columns and kept.count() == 1000
+    assert 0 < sizes.value < 8 << 20
+
+
+def test_token_table_is_emptied_between_calls(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 50)
+    encoder, whole = tokens.WordIds(packing.default_tokenizer()), tokens.WordIds(packing.default_tokenizer())
+    texts = [" ".join(f"word{k}x{n}" for n in range(20)).encode() for k in range(30)]
+    want = [x.tolist() for x in whole.encode(texts)]
+    got, most = [], 0
+    for k, text in enumerate(texts):  # calls of fewer words than a group
+        got += [x.tolist() for _, x in zip([k], encoder.encode([text]))]
+        most = max(most, len(encoder))
+    assert got == want and most < 50 + 21
