@@ -44,9 +44,12 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack what is left, without repeated passages, into token sequences: one row per piece."""
+    """Pack what is left, without repeated passages, into token sequences: one row per piece.
+
+    What is left is stored: cut and encoded in one task, a text would take two workers per core.
+    """
     cut = linededup.without_passages(docs, "doc_id")
-    return packing.pack(cut.filter((F.col("n_removed") == 0) | F.col("text").rlike(HAS_WORD)))
+    return packing.pack(checkpointed_lean(cut.filter((F.col("n_removed") == 0) | F.col("text").rlike(HAS_WORD))))
 
 
 STAGES = [

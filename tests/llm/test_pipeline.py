@@ -139,3 +139,12 @@ def test_token_table_is_emptied_between_calls(monkeypatch):
         got += [x.tolist() for _, x in zip([k], encoder.encode([text]))]
         most = max(most, len(encoder))
     assert got == want and most < 50 + 21
+
+
+def test_packing_takes_one_worker_per_task(spark, monkeypatch):
+    """Texts are encoded from stored rows, not behind another Python step of the same task."""
+    plans = []
+    monkeypatch.setattr(packing, "pack", lambda docs: plans.append(docs._jdf.queryExecution().executedPlan().toString()) or docs)
+    docs = spark.createDataFrame([(1, "a b c " * 40), (2, None)], "doc_id long, text string")
+    assert C.pack_sequences(spark, docs, "").count() == 2
+    assert "MapInArrow" not in plans[0] and "Python" not in plans[0]
